@@ -1,0 +1,7 @@
+"""Streaming.
+
+The source pipeline is batch only: every stage runs once per schedule, with no
+watermark, windowed state, trigger or late-data rule, so nothing here is a
+streaming operator.  Batch stages are written as pure DataFrame functions, so
+a file-stream front end would reuse them unchanged if one is ever needed.
+"""
