@@ -22,7 +22,8 @@ def coalesce_false(predicate: Column) -> Column:
 
 def period_label(year: str | Column = "year", month: str | Column = "month") -> Column:
     """``YYYY-MM`` label with a zero-padded month (null when a part is null)."""
-    return F.format_string("%d-%02d", _c(year), _c(month))
+    return F.when(_c(year).isNotNull() & _c(month).isNotNull(),
+                  F.format_string("%d-%02d", _c(year), _c(month)))
 
 
 def id_abbreviation(col: str | Column, width: int = 8) -> Column:
