@@ -363,19 +363,18 @@ class NotAQueryError(ValueError):
 
 
 def adhoc_select(spark: SparkSession, sql: str) -> DataFrame:
-    """Run free SQL only when it plans as a read-only query.
-
-    ``spark.sql`` runs commands eagerly, so the statement is first planned with
-    ``EXPLAIN`` (which never executes it).  A command plans as an ``Execute``
-    / ``CommandResult`` node; a query never does.  Unlike a prefix test this
-    accepts ``WITH``/``VALUES``/``TABLE`` queries and refuses
-    ``SELECT``-looking text that is not a single query.
+    """Run free SQL only when it is a read-only query.
+
+    ``spark.sql`` executes commands eagerly, so the text is first checked
+    without running it: it must also be valid as a subquery
+    (``SELECT * FROM (<text>)``), which only queries are (SELECT, WITH,
+    VALUES, TABLE, set operations).  DDL, DML, SET and CACHE fail that parse.
+    A prefix test (the source dashboard's) would accept ``SELECT``-looking
+    text that is not a single query and refuse ``WITH`` queries.
     """
-    plan = spark.sql("EXPLAIN " + sql).first()[0]
-    physical = plan.split("== Physical Plan ==", 1)[-1].strip()
-    root = physical.splitlines()[0] if physical else ""
-    if not root or root.startswith(("Execute ", "CommandResult", "AppendData",
-                                    "OverwriteByExpression", "OverwritePartitionsDynamic",
-                                    "DeleteFromTable", "ReplaceData", "WriteDelta")):
-        raise NotAQueryError(f"only queries are allowed, got: {root or 'nothing'}")
-    return spark.sql(sql)
+    text = sql.strip().rstrip(";")
+    try:
+        spark.sql(f"SELECT * FROM ({text}) AS adhoc_q")  # analysed, not executed
+    except Exception as exc:  # parse or analysis error: not a single query
+        raise NotAQueryError(f"only single read-only queries are allowed: {exc}") from exc
+    return spark.sql(text)
