@@ -325,6 +325,7 @@ _q("parquet_sink_partitioned", f"""SELECT * {_dbl('price', 'freight_value')},
   CAST(year(shipping_limit_date) AS INTEGER) AS ingestion_year,
   CAST(month(shipping_limit_date) AS INTEGER) AS ingestion_month FROM s_items""", "s_items")
 _q("parquet_sink", f"SELECT * {_dbl(*FOI_MONEY)} FROM fact_order_items", "fact_order_items")
+_q("jdbc_sink", "SELECT * FROM dim_sellers", "dim_sellers")
 _q("sql_source", """SELECT customer_state, COUNT(*) AS orders FROM fact_orders
 WHERE order_status = 'delivered' GROUP BY customer_state""", "fact_orders")
 _q("write_verify", """SELECT COUNT(*) AS written_rows, COUNT(*) AS expected_rows
@@ -392,6 +393,11 @@ _q("delivery_measures", """SELECT order_id,
                            CAST(order_delivered_customer_date AS DATE)) AS INTEGER)
        ELSE 0 END AS delay_days
 FROM s_orders""", "s_orders")
+_q("default_category", """SELECT product_id, product_category_name, product_category_name_english
+FROM dim_products""", "dim_products")
+_q("item_total_value", """SELECT order_id, order_item_id, CAST(price AS DOUBLE) AS price,
+  CAST(freight_value AS DOUBLE) AS freight_value, CAST(total_value AS DOUBLE) AS total_value
+FROM fact_order_items""", "fact_order_items")
 _q("period_label", """SELECT DISTINCT CAST(year(order_purchase_timestamp) AS INTEGER) AS year,
   CAST(month(order_purchase_timestamp) AS INTEGER) AS month,
   strftime(order_purchase_timestamp, '%Y-%m') AS period FROM fact_orders""", "fact_orders")

@@ -86,11 +86,20 @@ def silver(spark: SparkSession, bronze_path: str, dataset: str, target: str,
     return report
 
 
+def spread(df: DataFrame, spark: SparkSession) -> DataFrame:
+    """Round-robin a frame that arrives in fewer partitions than the cluster has
+    cores (e.g. a single-row-group file), so the files written from it, and
+    every later scan of them, run in parallel.  Frames that are already wide
+    (many input files, the normal case at scale) are left as they are."""
+    target = spark.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
 def silver_from_testdata(spark: SparkSession, sf_dir: str, silver_root: str) -> StageReport:
     """Land the driver tables as canonical silver (partitioned Parquet)."""
     report = StageReport()
     for name, df in testdata.load_silver(spark, sf_dir).items():
-        counted, obs = sinks.observed(quality.add_ingestion_metadata(df), name)
+        counted, obs = sinks.observed(quality.add_ingestion_metadata(spread(df, spark)), name)
         sinks.write_parquet_partitioned(counted, os.path.join(silver_root, name))
         report.rows[name] = int(obs.get["rows"])
     return report

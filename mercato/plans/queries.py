@@ -131,6 +131,20 @@ def _parquet_sink(c: Ctx) -> DataFrame:
     return files.read_parquet(c.spark, path)
 
 
+# Embedded in-memory Derby runs inside the driver JVM: no server, no port.
+JDBC_URL = "jdbc:derby:memory:mercato;create=true"
+JDBC_PROPS = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+
+
+@query("jdbc_sink")
+def _jdbc_sink(c: Ctx) -> DataFrame:
+    """The seller dimension written over JDBC (overwrite) and read back."""
+    from mercato.sources.sql import read_jdbc
+    sinks.write_jdbc(c.gold.dim_sellers, JDBC_URL, "DIM_SELLERS", JDBC_PROPS, num_partitions=4)
+    back = read_jdbc(c.spark, JDBC_URL, "DIM_SELLERS", JDBC_PROPS)
+    return back.toDF(*[n.lower() for n in back.columns])
+
+
 @query("sql_source")
 def _sql_source(c: Ctx) -> DataFrame:
     """SQL text over registered gold views."""
@@ -268,6 +282,20 @@ def _delivery_measures(c: Ctx) -> DataFrame:
         "order_id", "delivery_days", "estimated_delivery_days", "flag_delayed", "delay_days")
 
 
+@query("default_category")
+def _default_category(c: Ctx) -> DataFrame:
+    """Q17: English category per product, ``uncategorized`` when untranslated."""
+    return c.gold.dim_products.select("product_id", "product_category_name",
+                                      "product_category_name_english")
+
+
+@query("item_total_value")
+def _item_total_value(c: Ctx) -> DataFrame:
+    """Q18: item price + freight."""
+    return c.gold.fact_order_items.select("order_id", "order_item_id", "price", "freight_value",
+                                          "total_value")
+
+
 @query("period_label")
 def _period_label(c: Ctx) -> DataFrame:
     """Q19: YYYY-MM labels of every purchase month."""
