@@ -17,6 +17,16 @@ from pyspark.sql.types import StructType
 from mercato.functions.scalars import id_abbreviation, period_label, ratio
 
 
+# One-row KPIs that average doubles are rounded here: the last bits of a
+# floating-point sum depend on summation order (i.e. on partitioning), so an
+# unrounded value would not be reproducible across layouts or engines.
+KPI_DIGITS = 9
+
+
+def _kpi_avg(col: str | Column) -> Column:
+    return F.round(F.avg(col), KPI_DIGITS)
+
+
 def _label(df: DataFrame) -> DataFrame:
     return df.withColumn("period", period_label("year", "month"))
 
@@ -57,7 +67,7 @@ def overview_kpis(metrics_revenue: DataFrame, metrics_delivery: DataFrame) -> Da
         F.sum("total_revenue").alias("total_revenue"),
         F.sum("total_orders").alias("total_orders"),
         ratio(F.sum("total_revenue"), F.sum("total_orders")).alias("avg_ticket"),
-        F.avg("delay_rate_pct").alias("avg_delay_rate_pct"),
+        _kpi_avg("delay_rate_pct").alias("avg_delay_rate_pct"),
     )
 
 
@@ -90,8 +100,8 @@ def revenue_period_kpis(metrics_revenue: DataFrame, start: tuple[int, int],
         F.sum("total_revenue").alias("total_revenue"),
         F.sum("total_orders").alias("total_orders"),
         ratio(F.sum("total_revenue"), F.sum("total_orders")).alias("avg_ticket"),
-        F.avg(F.col("median_order_value").cast("double")).alias("median_ticket"),
-        F.avg(F.col("p90_order_value").cast("double")).alias("p90_ticket"),
+        _kpi_avg(F.col("median_order_value").cast("double")).alias("median_ticket"),
+        _kpi_avg(F.col("p90_order_value").cast("double")).alias("p90_ticket"),
     )
 
 
@@ -132,9 +142,9 @@ def revenue_raw(metrics_revenue: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------ logistics
 def logistics_kpis(metrics_delivery: DataFrame) -> DataFrame:
     return metrics_delivery.agg(
-        F.avg("avg_delivery_days").alias("avg_delivery"),
-        F.avg("delay_rate_pct").alias("avg_delay"),
-        F.avg("sla_compliance_pct").alias("avg_sla"),
+        _kpi_avg("avg_delivery_days").alias("avg_delivery"),
+        _kpi_avg("delay_rate_pct").alias("avg_delay"),
+        _kpi_avg("sla_compliance_pct").alias("avg_sla"),
         F.sum("total_delayed").alias("total_delayed"),
         F.sum("total_delivered").alias("total_delivered"),
     )
@@ -170,9 +180,9 @@ def logistics_most_delayed_states(metrics_delivery_by_state: DataFrame, k: int =
 # ------------------------------------------------------------------ reviews
 def reviews_kpis(metrics_reviews: DataFrame) -> DataFrame:
     return metrics_reviews.agg(
-        F.avg("nps").alias("avg_nps"),
-        ratio(F.sum(F.col("avg_score") * F.col("total_reviews")), F.sum("total_reviews"))
-        .alias("avg_score"),
+        _kpi_avg("nps").alias("avg_nps"),
+        F.round(ratio(F.sum(F.col("avg_score") * F.col("total_reviews")), F.sum("total_reviews")),
+                KPI_DIGITS).alias("avg_score"),
         F.sum("total_reviews").alias("total_reviews"),
         F.sum("promoters").alias("promoters"),
         F.sum("detractors").alias("detractors"),
@@ -208,7 +218,7 @@ def reviews_raw(metrics_reviews: DataFrame) -> DataFrame:
 def customer_kpis(metrics_customers: DataFrame) -> DataFrame:
     return metrics_customers.agg(
         F.sum("new_customers").alias("total_customers"),
-        F.avg("avg_ltv").alias("avg_ltv"),
+        _kpi_avg("avg_ltv").alias("avg_ltv"),
     )
 
 

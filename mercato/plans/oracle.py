@@ -505,7 +505,7 @@ _q("overview_kpis", """SELECT
   CAST((SELECT SUM(total_orders) FROM metrics_revenue) AS BIGINT) AS total_orders,
   CAST((SELECT SUM(total_revenue) FROM metrics_revenue) AS DOUBLE)
     / (SELECT SUM(total_orders) FROM metrics_revenue) AS avg_ticket,
-  (SELECT AVG(delay_rate_pct) FROM metrics_delivery) AS avg_delay_rate_pct""",
+  round((SELECT AVG(delay_rate_pct) FROM metrics_delivery), 9) AS avg_delay_rate_pct""",
    "metrics_revenue", "metrics_delivery")
 _q("overview_monthly_revenue",
    _label("SELECT year, month, CAST(total_revenue AS DOUBLE) AS total_revenue")
@@ -522,8 +522,8 @@ _q("revenue_periods", _label("SELECT DISTINCT year, month") + " FROM metrics_rev
 _q("revenue_period_kpis", f"""SELECT CAST(SUM(total_revenue) AS DOUBLE) AS total_revenue,
   CAST(SUM(total_orders) AS BIGINT) AS total_orders,
   CAST(SUM(total_revenue) AS DOUBLE) / SUM(total_orders) AS avg_ticket,
-  AVG(CAST(median_order_value AS DOUBLE)) AS median_ticket,
-  AVG(CAST(p90_order_value AS DOUBLE)) AS p90_ticket
+  round(AVG(CAST(median_order_value AS DOUBLE)), 9) AS median_ticket,
+  round(AVG(CAST(p90_order_value AS DOUBLE)), 9) AS p90_ticket
 FROM metrics_revenue WHERE {_period(PERIOD_START, PERIOD_END)}""", "metrics_revenue")
 _q("revenue_period_series", _label(
     "SELECT year, month, CAST(total_revenue AS DOUBLE) AS total_revenue, monthly_growth_pct")
@@ -541,8 +541,8 @@ _q("cancellation_series", _label("""SELECT year, month, cancellation_rate_pct,
   CAST(lost_revenue AS DOUBLE) AS lost_revenue""") + " FROM metrics_cancellations",
    "metrics_cancellations")
 _q("revenue_raw", f"SELECT * {_MR} FROM metrics_revenue", "metrics_revenue")
-_q("logistics_kpis", """SELECT AVG(avg_delivery_days) AS avg_delivery,
-  AVG(delay_rate_pct) AS avg_delay, AVG(sla_compliance_pct) AS avg_sla,
+_q("logistics_kpis", """SELECT round(AVG(avg_delivery_days), 9) AS avg_delivery,
+  round(AVG(delay_rate_pct), 9) AS avg_delay, round(AVG(sla_compliance_pct), 9) AS avg_sla,
   CAST(SUM(total_delayed) AS BIGINT) AS total_delayed,
   CAST(SUM(total_delivered) AS BIGINT) AS total_delivered FROM metrics_delivery""",
    "metrics_delivery")
@@ -559,8 +559,8 @@ ORDER BY avg_delivery_days DESC NULLS LAST, customer_state NULLS FIRST LIMIT 10"
 _q("logistics_most_delayed_states", _STATE_SEL + """
 ORDER BY delay_rate_pct DESC NULLS LAST, avg_delivery_days DESC NULLS LAST,
   customer_state NULLS FIRST LIMIT 10""", "metrics_delivery_by_state")
-_q("reviews_kpis", """SELECT AVG(nps) AS avg_nps,
-  SUM(avg_score * total_reviews) / SUM(total_reviews) AS avg_score,
+_q("reviews_kpis", """SELECT round(AVG(nps), 9) AS avg_nps,
+  round(SUM(avg_score * total_reviews) / SUM(total_reviews), 9) AS avg_score,
   CAST(SUM(total_reviews) AS BIGINT) AS total_reviews,
   CAST(SUM(promoters) AS BIGINT) AS promoters, CAST(SUM(detractors) AS BIGINT) AS detractors
 FROM metrics_reviews""", "metrics_reviews")
@@ -576,7 +576,7 @@ ORDER BY avg_score DESC NULLS LAST, product_category_name_english LIMIT 20""",
    "metrics_reviews_by_category")
 _q("reviews_raw", "SELECT * FROM metrics_reviews", "metrics_reviews")
 _q("customer_kpis", """SELECT CAST(SUM(new_customers) AS BIGINT) AS total_customers,
-  AVG(avg_ltv) AS avg_ltv FROM metrics_customers""", "metrics_customers")
+  round(AVG(avg_ltv), 9) AS avg_ltv FROM metrics_customers""", "metrics_customers")
 _q("recurrent_customers", """SELECT
   (SELECT COUNT(*) FROM (SELECT customer_id FROM fact_orders GROUP BY customer_id
                          HAVING COUNT(*) > 1) r) AS recurrent,

@@ -61,6 +61,8 @@ def local_session(cores: int | None = None, shuffle_partitions: int | None = Non
         .config("spark.driver.memory", os.environ.get("MERCATO_DRIVER_MEMORY", "8g"))
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # the embedded JDBC test database would otherwise write derby.log to the cwd
+        .config("spark.driver.extraJavaOptions", "-Dderby.stream.error.file=/dev/null")
     )
     for key, value in RUNTIME_CONF.items():
         builder = builder.config(key, value)
