@@ -3,8 +3,9 @@
 Physical join choice is left to Catalyst and AQE: a side is broadcast when its
 estimated or (with AQE) measured size is under
 ``spark.sql.autoBroadcastJoinThreshold``; otherwise the join is a sort-merge
-join whose skewed partitions AQE splits.  ``broadcast_if_small`` adds an
-explicit hint only behind a bounded row-count probe.
+join.  AQE splits a skewed partition only when both join inputs are plain
+shuffle stages; a lookup side that is itself an aggregate or a dedup window
+does not qualify, so ``salted_join`` splits hot keys explicitly.
 """
 
 from __future__ import annotations
@@ -12,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+SALT = "__salt"
+
 
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
@@ -25,3 +28,46 @@ def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
 def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     """Hint a broadcast only when the side is proven small; else leave it to AQE."""
     return F.broadcast(df) if row_count_at_most(df, max_rows) else df
+
+
+def frequent_keys(df: DataFrame, columns: list[str], min_share: float = 0.02) -> dict[str, list]:
+    """Values of each column that may hold at least ``min_share`` of the rows.
+
+    One pass of Spark's frequent-items sketch over the key columns only.  At
+    most ``1 / min_share`` values per column can qualify, so the result is
+    bounded whatever the data size; it may contain false positives (which
+    only cost a few extra salted copies), never false negatives.
+    """
+    row = df.select(*columns).stat.freqItems(columns, support=min_share).first()
+    return {c: [v for v in row[f"{c}_freqItems"] if v is not None] for c in columns}
+
+
+def _salts(df: DataFrame) -> int:
+    return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def salted_join(big: DataFrame, lookup: DataFrame, key: str, how: str = "left",
+                hot: list | None = None, salts: int | None = None,
+                min_share: float = 0.02) -> DataFrame:
+    """``big.join(lookup, key, how)`` with hot keys of ``big`` spread over ``salts`` tasks.
+
+    Rows of ``big`` whose key is hot get a salt from a hash of the whole row
+    (deterministic, so a retried task after an executor loss reproduces it);
+    the ``lookup`` rows of hot keys are replicated once per salt, all other
+    rows keep salt 0.  Every pair of matching rows still meets exactly once,
+    so the result equals the plain join for ``inner`` and ``left`` joins.
+    """
+    if how not in ("left", "inner"):
+        raise ValueError("salted_join supports inner and left joins")
+    hot = frequent_keys(big, [key], min_share)[key] if hot is None else list(hot)
+    if not hot:
+        return big.join(lookup, key, how)
+    n = salts or _salts(big)
+    is_hot = F.col(key).isin(hot)
+    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in big.columns])
+    salted_big = big.withColumn(SALT, F.when(is_hot, F.pmod(row_hash, F.lit(n))).otherwise(F.lit(0)))
+    salted_lookup = lookup.withColumn(
+        SALT, F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(n - 1)))
+                        .otherwise(F.array(F.lit(0))))
+    ).withColumn(SALT, F.col(SALT).cast("bigint"))
+    return salted_big.join(salted_lookup, [key, SALT], how).drop(SALT)

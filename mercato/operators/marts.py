@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mercato.functions.scalars import month_index, pct, ratio
+from mercato.operators.joins import salted_join
 from mercato.operators.ranking import global_rank_running_sum
 
 CANCELED = "canceled"
@@ -279,18 +280,23 @@ def repurchase_rate(fact_orders: DataFrame, customer_key: str = "customer_id") -
 def first_purchase(fact_orders: DataFrame, customer_key: str = "customer_id") -> DataFrame:
     """Every order with its customer's first purchase instant.
 
-    A partial aggregate per customer joined back on the customer key (AQE
-    splits a customer holding a large share of orders) instead of a window
-    that would put all of one customer's orders into one task.
+    A partial aggregate per customer joined back on the customer key, instead
+    of a window that would put all of one customer's orders into one task.
+    The lookup side is an aggregate, which AQE's skew split does not cover,
+    so customers holding a large share of orders are salted explicitly.
     """
     firsts = fact_orders.groupBy(customer_key).agg(
         F.min("order_purchase_timestamp").alias("first_purchase_date"))
-    return fact_orders.select("order_id", customer_key, "order_purchase_timestamp") \
-        .join(firsts, customer_key, "left")
+    orders = fact_orders.select("order_id", customer_key, "order_purchase_timestamp")
+    return salted_join(orders, firsts, customer_key, "left")
 
 
 def metrics_cohort(fact_orders: DataFrame, customer_key: str = "customer_id") -> DataFrame:
-    """Distinct customers per (first-purchase month, months since it)."""
+    """Distinct customers per (first-purchase month, months since it).
+
+    Orders without a customer id never match a first purchase (as in the
+    source's join), so they form one (null, null) group with 0 customers.
+    """
     active = (
         fact_orders.select(customer_key, month_index("order_purchase_timestamp").alias("m"))
         .where(F.col("m").isNotNull())
@@ -298,13 +304,15 @@ def metrics_cohort(fact_orders: DataFrame, customer_key: str = "customer_id") ->
     )
     # At most one row per (customer, calendar month): a window per customer is
     # bounded by the calendar span, whatever the customer's order volume.
-    cohort_m = F.min("m").over(Window.partitionBy(customer_key))
+    cohort_m = F.when(F.col(customer_key).isNotNull(),
+                      F.min("m").over(Window.partitionBy(customer_key)))
     labelled = active.withColumn("cm", cohort_m)
     return (
         labelled.groupBy("cm", (F.col("m") - F.col("cm")).alias("months_since_first"))
-        .agg(F.count(F.lit(1)).alias("customers"))
+        .agg(F.count(customer_key).alias("customers"))
         .select(
-            F.format_string("%04d-%02d", F.floor(F.col("cm") / 12), F.col("cm") % 12 + 1)
+            F.when(F.col("cm").isNotNull(), F.format_string(
+                "%04d-%02d", F.floor(F.col("cm") / 12), F.col("cm") % 12 + 1))
             .alias("cohort_month"),
             F.col("months_since_first").cast("int").alias("months_since_first"),
             "customers",

@@ -223,15 +223,16 @@ def customer_kpis(metrics_customers: DataFrame) -> DataFrame:
 
 
 def recurrent_customers(fact_orders: DataFrame, customer_key: str = "customer_id") -> DataFrame:
-    """Customers with more than one order row, all distinct customers, rate to 1 decimal.
+    """Customer ids with more than one order row, distinct customers, rate to 1 decimal.
 
-    One aggregate per customer (partial, skew-safe) then one global row.
+    Like the source's ``GROUP BY ... HAVING COUNT(*) > 1`` the null id forms a
+    group of its own, while the distinct count ignores it.  One partial
+    aggregate per customer (skew-safe), then one global row.
     """
-    per_customer = fact_orders.where(F.col(customer_key).isNotNull()) \
-        .groupBy(customer_key).agg(F.count(F.lit(1)).alias("n"))
+    per_customer = fact_orders.groupBy(customer_key).agg(F.count(F.lit(1)).alias("n"))
     return per_customer.agg(
         F.count_if(F.col("n") > 1).alias("recurrent"),
-        F.count(F.lit(1)).alias("total"),
+        F.count(customer_key).alias("total"),
     ).withColumn(
         "rate_pct",
         F.coalesce(F.bround(ratio("recurrent", "total") * 100, 1), F.lit(0.0)),
