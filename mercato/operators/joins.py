@@ -42,32 +42,55 @@ def frequent_keys(df: DataFrame, columns: list[str], min_share: float = 0.02) ->
     return {c: [v for v in row[f"{c}_freqItems"] if v is not None] for c in columns}
 
 
-def _salts(df: DataFrame) -> int:
-    return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+# Rows of one hot key that one salted task should receive.
+ROWS_PER_SALT = 2_000_000
+MAX_SALTS = 4096
+
+
+def hot_key_salts(df: DataFrame, columns: list[str], min_share: float = 0.02,
+                  rows_per_salt: int = ROWS_PER_SALT) -> dict[str, dict]:
+    """Per column: hot value -> number of salts, proportional to its row count.
+
+    Candidates come from ``frequent_keys``; their exact counts from one
+    aggregate over the rows that carry a candidate (at most ``1 / min_share``
+    groups per column, so collecting them is bounded).
+    """
+    candidates = frequent_keys(df, columns, min_share)
+    out: dict[str, dict] = {}
+    for c in columns:
+        if not candidates[c]:
+            out[c] = {}
+            continue
+        counts = df.where(F.col(c).isin(candidates[c])).groupBy(c) \
+            .agg(F.count(F.lit(1)).alias("n")).collect()
+        out[c] = {r[c]: min(MAX_SALTS, max(2, -(-r["n"] // rows_per_salt))) for r in counts}
+    return out
 
 
 def salted_join(big: DataFrame, lookup: DataFrame, key: str, how: str = "left",
-                hot: list | None = None, salts: int | None = None,
-                min_share: float = 0.02) -> DataFrame:
-    """``big.join(lookup, key, how)`` with hot keys of ``big`` spread over ``salts`` tasks.
-
-    Rows of ``big`` whose key is hot get a salt from a hash of the whole row
-    (deterministic, so a retried task after an executor loss reproduces it);
-    the ``lookup`` rows of hot keys are replicated once per salt, all other
-    rows keep salt 0.  Every pair of matching rows still meets exactly once,
-    so the result equals the plain join for ``inner`` and ``left`` joins.
+                salts: dict | None = None, min_share: float = 0.02) -> DataFrame:
+    """``big.join(lookup, key, how)`` with each hot key of ``big`` spread over its own
+    number of tasks.
+
+    ``salts`` maps hot key values to salt counts (see ``hot_key_salts``; found
+    here when not given).  Rows of ``big`` with a hot key get a salt from a
+    hash of the whole row (deterministic, so a task retried after an executor
+    loss reproduces it); the ``lookup`` rows of a hot key are replicated once
+    per salt, all other rows keep salt 0.  Every pair of matching rows still
+    meets exactly once, so the result equals the plain join for ``inner`` and
+    ``left`` joins.
     """
     if how not in ("left", "inner"):
         raise ValueError("salted_join supports inner and left joins")
-    hot = frequent_keys(big, [key], min_share)[key] if hot is None else list(hot)
-    if not hot:
+    salts = hot_key_salts(big, [key], min_share)[key] if salts is None else salts
+    if not salts:
         return big.join(lookup, key, how)
-    n = salts or _salts(big)
-    is_hot = F.col(key).isin(hot)
+    key_type = big.schema[key].dataType
+    n_of_key = F.create_map(*[x for k, n in salts.items()
+                              for x in (F.lit(k).cast(key_type), F.lit(n))])[F.col(key)]
     row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in big.columns])
-    salted_big = big.withColumn(SALT, F.when(is_hot, F.pmod(row_hash, F.lit(n))).otherwise(F.lit(0)))
+    salted_big = big.withColumn(SALT, F.coalesce(F.pmod(row_hash, n_of_key), F.lit(0)))
     salted_lookup = lookup.withColumn(
-        SALT, F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(n - 1)))
-                        .otherwise(F.array(F.lit(0))))
+        SALT, F.explode(F.coalesce(F.sequence(F.lit(0), n_of_key - 1), F.array(F.lit(0))))
     ).withColumn(SALT, F.col(SALT).cast("bigint"))
     return salted_big.join(salted_lookup, [key, SALT], how).drop(SALT)

@@ -23,13 +23,15 @@ from pyspark.sql import functions as F
 from mercato.session import ensure_checkpoint_dir
 
 _BUCKET = "__range"
+# Upper bound on ranges: the offset table broadcast back has one row per range.
+MAX_RANGES = 4096
 
 
 def _buckets(df: DataFrame, n_buckets: int | None) -> int:
     if n_buckets:
-        return max(1, n_buckets)
+        return max(1, min(n_buckets, MAX_RANGES))
     spark = df.sparkSession
-    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), MAX_RANGES))
 
 
 def global_rank_running_sum(

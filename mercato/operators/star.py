@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mercato.operators import conform
-from mercato.operators.joins import frequent_keys, salted_join
+from mercato.operators.joins import hot_key_salts, salted_join
 
 UNCATEGORIZED = "uncategorized"
 
@@ -105,10 +105,10 @@ def fact_order_items(items: DataFrame, dim_products_df: DataFrame,
     cover; a product or seller holding a large share of the items is salted
     (one frequent-items pass finds both kinds of hot keys).
     """
-    hot = frequent_keys(items, ["product_id", "seller_id"])
+    hot = hot_key_salts(items, ["product_id", "seller_id"])
     fact = salted_join(items, dim_products_df.select("product_id", "product_category_name_english"),
-                       "product_id", "left", hot=hot["product_id"])
+                       "product_id", "left", salts=hot["product_id"])
     fact = salted_join(fact, dim_sellers_df.select("seller_id", "seller_state"), "seller_id",
-                       "left", hot=hot["seller_id"])
+                       "left", salts=hot["seller_id"])
     return fact.withColumn("total_value", F.col("price") + F.col("freight_value")) \
         .select(*FACT_ORDER_ITEMS_COLUMNS)

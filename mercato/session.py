@@ -25,9 +25,39 @@ RUNTIME_CONF = {
 }
 
 
-def tune(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to an existing session."""
-    for key, value in RUNTIME_CONF.items():
+MB = 1024 * 1024
+
+
+def scale_conf(input_bytes: int, target_partition_mb: int = 256,
+               shuffle_share: float = 0.5) -> dict[str, str]:
+    """Size scans and shuffles from the input volume.
+
+    * Scan splits of ``target_partition_mb`` (columnar Parquet reads only the
+      selected columns, so a split decodes far less than its byte size).
+    * Shuffle partitions sized so the widest shuffle (about ``shuffle_share``
+      of the input after pruning and partial aggregation) lands near
+      ``target_partition_mb`` per partition; AQE starts from that number and
+      coalesces small stages, and splits partitions that still come out skewed.
+    * 100 TB with the defaults: 200,000 initial shuffle partitions of ~256 MB,
+      each well inside a few GB of executor memory per core, so sorts and
+      aggregations spill rarely.
+    """
+    partitions = max(200, int(input_bytes * shuffle_share / (target_partition_mb * MB)))
+    return {
+        "spark.sql.files.maxPartitionBytes": f"{target_partition_mb}m",
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{target_partition_mb}m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{4 * target_partition_mb}m",
+    }
+
+
+def tune(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
+    """Apply the runtime settings (and, given the input size, the sizing) to a session."""
+    conf = dict(RUNTIME_CONF)
+    if input_bytes:
+        conf.update(scale_conf(input_bytes))
+    for key, value in conf.items():
         spark.conf.set(key, value)
     return spark
 

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from mercato.operators import conform, marts
-from mercato.operators.joins import frequent_keys, salted_join
+from mercato.operators.joins import frequent_keys, hot_key_salts, salted_join
 
 N = 30_000
 
@@ -60,6 +60,8 @@ def _same(a, b):
 def test_frequent_keys_finds_the_hot_key(spark):
     hot = frequent_keys(_orders(spark), ["customer_id"], 0.05)["customer_id"]
     assert "hot" in hot and len(hot) <= 20
+    salts = hot_key_salts(_orders(spark), ["customer_id"], 0.05, rows_per_salt=1000)["customer_id"]
+    assert salts["hot"] == 10  # 10,000 rows of the hot key, 1,000 per task
 
 
 @pytest.mark.parametrize("how", ["left", "inner"])
@@ -69,7 +71,7 @@ def test_salted_join_equals_plain_join(spark, how):
         F.col("id").cast("string").alias("customer_id"), F.col("id").alias("v"))
     lookup = lookup.unionByName(spark.createDataFrame([("hot", 1), ("hot", 2), ("5", 9)],
                                                       "customer_id string, v bigint"))
-    salted = salted_join(orders, lookup, "customer_id", how, salts=7)
+    salted = salted_join(orders, lookup, "customer_id", how, salts={"hot": 7, "5": 3})
     plan = salted._jdf.queryExecution().optimizedPlan().toString()
     assert "__salt" in plan
     assert _same(salted, orders.join(lookup, "customer_id", how))
