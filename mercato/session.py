@@ -26,6 +26,7 @@ RUNTIME_CONF = {
 
 
 MB = 1024 * 1024
+MAX_SHUFFLE_PARTITIONS = 100_000
 
 
 def scale_conf(input_bytes: int, target_partition_mb: int = 256,
@@ -38,11 +39,13 @@ def scale_conf(input_bytes: int, target_partition_mb: int = 256,
       of the input after pruning and partial aggregation) lands near
       ``target_partition_mb`` per partition; AQE starts from that number and
       coalesces small stages, and splits partitions that still come out skewed.
-    * 100 TB with the defaults: 200,000 initial shuffle partitions of ~256 MB,
-      each well inside a few GB of executor memory per core, so sorts and
-      aggregations spill rarely.
+    * Capped at ``MAX_SHUFFLE_PARTITIONS``: beyond that every map task writes
+      too many tiny blocks.  100 TB with the defaults: 100,000 initial shuffle
+      partitions of ~500 MB for the widest shuffle, inside a few GB of
+      executor memory per core, so sorts and aggregations spill rarely.
     """
-    partitions = max(200, int(input_bytes * shuffle_share / (target_partition_mb * MB)))
+    partitions = max(200, min(MAX_SHUFFLE_PARTITIONS,
+                              int(input_bytes * shuffle_share / (target_partition_mb * MB))))
     return {
         "spark.sql.files.maxPartitionBytes": f"{target_partition_mb}m",
         "spark.sql.shuffle.partitions": str(partitions),
