@@ -30,45 +30,42 @@ def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     return F.broadcast(df) if row_count_at_most(df, max_rows) else df
 
 
-def frequent_keys(df: DataFrame, columns: list[str], min_share: float = 0.02) -> dict[str, list]:
-    """Values of each column that may hold at least ``min_share`` of the rows.
-
-    One pass of Spark's frequent-items sketch over the key columns only.  At
-    most ``1 / min_share`` values per column can qualify, so the result is
-    bounded whatever the data size; it may contain false positives (which
-    only cost a few extra salted copies), never false negatives.
-    """
-    row = df.select(*columns).stat.freqItems(columns, support=min_share).first()
-    return {c: [v for v in row[f"{c}_freqItems"] if v is not None] for c in columns}
-
-
 # Rows of one hot key that one salted task should receive.
 ROWS_PER_SALT = 2_000_000
 MAX_SALTS = 4096
+HOT_SAMPLE_FRACTION = 0.01
+HOT_TOP = 64
 
 
-def hot_key_salts(df: DataFrame, columns: list[str], min_share: float = 0.02,
-                  rows_per_salt: int = ROWS_PER_SALT) -> dict[str, dict]:
-    """Per column: hot value -> number of salts, proportional to its row count.
+def hot_key_salts(df: DataFrame, columns: list[str], rows_per_salt: int | None = None,
+                  sample_fraction: float | None = None, top: int = HOT_TOP,
+                  seed: int = 7) -> dict[str, dict]:
+    """Per column: hot value -> number of salts, in proportion to its estimated rows.
 
-    Candidates come from ``frequent_keys``; their exact counts from one
-    aggregate over the rows that carry a candidate (at most ``1 / min_share``
-    groups per column, so collecting them is bounded).
+    One job over a seeded sample of the key columns only: (column, value)
+    pairs whose estimated row count exceeds ``rows_per_salt``, the ``top``
+    largest of them (a bounded top-k, so the collect is bounded).  A key
+    holding a third of the rows always qualifies; keys small enough for one
+    task are left alone.  The result becomes literals in the plan, so task
+    retries see the same salts.
     """
-    candidates = frequent_keys(df, columns, min_share)
-    out: dict[str, dict] = {}
-    for c in columns:
-        if not candidates[c]:
-            out[c] = {}
-            continue
-        counts = df.where(F.col(c).isin(candidates[c])).groupBy(c) \
-            .agg(F.count(F.lit(1)).alias("n")).collect()
-        out[c] = {r[c]: min(MAX_SALTS, max(2, -(-r["n"] // rows_per_salt))) for r in counts}
+    rows_per_salt = rows_per_salt or ROWS_PER_SALT
+    sample_fraction = sample_fraction or HOT_SAMPLE_FRACTION
+    pairs = df.select(*columns).sample(fraction=sample_fraction, seed=seed).select(
+        F.explode(F.array(*[F.struct(F.lit(c).alias("col"), F.col(c).cast("string").alias("val"))
+                            for c in columns])).alias("p")
+    ).select("p.col", "p.val").where(F.col("val").isNotNull())
+    rows = (pairs.groupBy("col", "val").agg(F.count(F.lit(1)).alias("n"))
+            .where(F.col("n") > rows_per_salt * sample_fraction)
+            .orderBy(F.col("n").desc(), "col", "val").limit(top * len(columns)).collect())
+    out: dict[str, dict] = {c: {} for c in columns}
+    for r in rows:
+        out[r["col"]][r["val"]] = min(MAX_SALTS, -(-int(r["n"] / sample_fraction) // rows_per_salt))
     return out
 
 
 def salted_join(big: DataFrame, lookup: DataFrame, key: str, how: str = "left",
-                salts: dict | None = None, min_share: float = 0.02) -> DataFrame:
+                salts: dict | None = None) -> DataFrame:
     """``big.join(lookup, key, how)`` with each hot key of ``big`` spread over its own
     number of tasks.
 
@@ -82,7 +79,7 @@ def salted_join(big: DataFrame, lookup: DataFrame, key: str, how: str = "left",
     """
     if how not in ("left", "inner"):
         raise ValueError("salted_join supports inner and left joins")
-    salts = hot_key_salts(big, [key], min_share)[key] if salts is None else salts
+    salts = hot_key_salts(big, [key])[key] if salts is None else salts
     if not salts:
         return big.join(lookup, key, how)
     key_type = big.schema[key].dataType

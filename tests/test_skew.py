@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from mercato.operators import conform, marts
-from mercato.operators.joins import frequent_keys, hot_key_salts, salted_join
+from mercato.operators.joins import hot_key_salts, salted_join
 
 N = 30_000
 
@@ -57,11 +57,26 @@ def _same(a, b):
         sorted(map(tuple, b.select(cols).collect()), key=key)
 
 
-def test_frequent_keys_finds_the_hot_key(spark):
-    hot = frequent_keys(_orders(spark), ["customer_id"], 0.05)["customer_id"]
-    assert "hot" in hot and len(hot) <= 20
-    salts = hot_key_salts(_orders(spark), ["customer_id"], 0.05, rows_per_salt=1000)["customer_id"]
-    assert salts["hot"] == 10  # 10,000 rows of the hot key, 1,000 per task
+def test_hot_key_detection(spark):
+    salts = hot_key_salts(_orders(spark), ["customer_id"], rows_per_salt=1000,
+                          sample_fraction=0.2)["customer_id"]
+    assert list(salts) == ["hot"]  # ~10,000 rows; every other customer has ~20
+    assert 8 <= salts["hot"] <= 12
+    assert hot_key_salts(_orders(spark), ["customer_id"])["customer_id"] == {}
+
+
+def test_first_purchase_salts_a_hot_customer(spark, monkeypatch):
+    from mercato.operators import joins
+    monkeypatch.setattr(joins, "ROWS_PER_SALT", 500)
+    monkeypatch.setattr(joins, "HOT_SAMPLE_FRACTION", 0.2)
+    fo = _orders(spark)
+    got = marts.first_purchase(fo)
+    assert "__salt" in got._jdf.queryExecution().optimizedPlan().toString()
+    firsts = fo.groupBy("customer_id").agg(F.min("order_purchase_timestamp")
+                                           .alias("first_purchase_date"))
+    want = fo.select("order_id", "customer_id", "order_purchase_timestamp") \
+        .join(firsts, "customer_id", "left")
+    assert _same(got, want)
 
 
 @pytest.mark.parametrize("how", ["left", "inner"])
