@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from mercato.operators import quality
 from mercato.plans.gold import Gold, Marts
+from mercato.session import parallelism
 from mercato.sources import files, sinks, testdata
 
 log = logging.getLogger("mercato.pipeline")
@@ -125,7 +126,7 @@ def spread(df: DataFrame, spark: SparkSession) -> DataFrame:
     later scan of them, run in parallel.  Frames read from many files (the
     normal case at scale) are left as they are.  The test looks at file
     metadata only; it runs no job."""
-    target = spark.sparkContext.defaultParallelism
+    target = parallelism(spark)
     return df.repartition(target) if len(df.inputFiles()) < target else df
 
 

@@ -71,14 +71,30 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
     is.  Only when it is unset (local tests) a fresh scratch folder is made.
     """
-    current = spark.sparkContext.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # e.g. a Spark Connect session: no SparkContext handle
+        sc = None
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = tempfile.mkdtemp(prefix="mercato-ckpt-")
-    spark.sparkContext.setCheckpointDir(configured)
-    return spark.sparkContext.getCheckpointDir() or configured
+        if sc is None:
+            spark.conf.set("spark.checkpoint.dir", configured)
+    if sc is None:
+        return configured
+    sc.setCheckpointDir(configured)
+    return sc.getCheckpointDir() or configured
+
+
+def parallelism(spark: SparkSession) -> int:
+    """Cores the session can use at once (falls back to the shuffle width)."""
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
 def local_session(cores: int | None = None, shuffle_partitions: int | None = None,
