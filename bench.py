@@ -8,7 +8,8 @@ default 4); ``stage.*`` entries are stage wall times, per-table entries overlap.
 Read-side queries run one at a time.
 
 Prints ONE JSON line: {"metric", "value" (total seconds), "unit", "queries": {...}, "sf"}.
-Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8).
+Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
+BENCH_WORKERS (default 4); MERCATO_EVENT_LOG_DIR writes Spark's event log there.
 """
 
 from __future__ import annotations
@@ -68,6 +69,7 @@ def main() -> None:
     ctx = types.SimpleNamespace(spark=spark, gold=gold_ns,
                                 marts=types.SimpleNamespace(**{k: tables[k] for k in tables}))
     for name, build in _D.items():
+        pipeline.describe(spark, f"serve {name}")
         timed(f"serve.{name}", lambda b=build: _noop(b(ctx)))
     total = round(time.perf_counter() - start, 3)
 

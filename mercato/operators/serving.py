@@ -12,7 +12,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from mercato.functions.scalars import id_abbreviation, period_label, ratio
 
@@ -357,16 +356,17 @@ def flag_percentages(fact_orders: DataFrame) -> DataFrame:
 
 
 def schema_catalog(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """Column name, type and nullability of a table, in column order."""
-    rows = [(i + 1, f.name, f.dataType.simpleString(), "YES" if f.nullable else "NO")
-            for i, f in enumerate(df.schema.fields)]
-    schema = StructType.fromJson({"type": "struct", "fields": [
-        {"name": "ordinal_position", "type": "integer", "nullable": False, "metadata": {}},
-        {"name": "column_name", "type": "string", "nullable": False, "metadata": {}},
-        {"name": "data_type", "type": "string", "nullable": False, "metadata": {}},
-        {"name": "is_nullable", "type": "string", "nullable": False, "metadata": {}},
-    ]})
-    return spark.createDataFrame(rows, schema)
+    """Column name, type and nullability of a table, in column order.
+
+    Built JVM-side from the table's schema (one row per column, so bounded).
+    """
+    entries = [
+        F.struct(F.lit(i + 1).alias("ordinal_position"), F.lit(f.name).alias("column_name"),
+                 F.lit(f.dataType.simpleString()).alias("data_type"),
+                 F.lit("YES" if f.nullable else "NO").alias("is_nullable"))
+        for i, f in enumerate(df.schema.fields)
+    ]
+    return spark.range(1).select(F.inline(F.array(*entries)))
 
 
 class NotAQueryError(ValueError):

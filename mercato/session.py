@@ -115,6 +115,9 @@ def local_session(cores: int | None = None, shuffle_partitions: int | None = Non
     )
     for key, value in RUNTIME_CONF.items():
         builder = builder.config(key, value)
+    event_dir = os.environ.get("MERCATO_EVENT_LOG_DIR")
+    if event_dir:  # stage/task timings for offline analysis (no UI, no server)
+        builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_dir)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
