@@ -103,27 +103,58 @@ def metrics_revenue_by_state(fact_orders: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- A5 / A6
-def metrics_revenue_by_category(fact_order_items: DataFrame, fact_orders: DataFrame) -> DataFrame:
-    """``total_orders`` counts item rows, as in the source marts."""
+ROLLUP_KEYS = ("product_id", "product_category_name_english", "seller_id", "seller_state")
+
+
+def valid_item_rollup(fact_order_items: DataFrame, fact_orders: DataFrame) -> DataFrame:
+    """Item rows of non-canceled orders, aggregated at the finest grain any
+    item mart needs (product, category, seller, seller state).
+
+    The category, seller and product marts are sums and counts of these
+    groups (plus distinct products per seller, which the grain keeps), so the
+    semi join and the big aggregation over the item fact run once, and each
+    mart rolls up a table with one row per (product, seller) pair.
+    """
     return (
         items_of_valid_orders(fact_order_items, fact_orders)
+        .groupBy(*ROLLUP_KEYS)
+        .agg(
+            F.sum("total_value").alias("total_value"),
+            F.sum("price").alias("price"),
+            F.sum("freight_value").alias("freight_value"),
+            F.count("order_id").alias("item_rows"),
+        )
+    )
+
+
+def _rollup(fact_order_items: DataFrame, fact_orders: DataFrame,
+            rollup: DataFrame | None) -> DataFrame:
+    return rollup if rollup is not None else valid_item_rollup(fact_order_items, fact_orders)
+
+
+def metrics_revenue_by_category(fact_order_items: DataFrame, fact_orders: DataFrame,
+                                rollup: DataFrame | None = None) -> DataFrame:
+    """``total_orders`` counts item rows, as in the source marts."""
+    return (
+        _rollup(fact_order_items, fact_orders, rollup)
         .groupBy("product_category_name_english")
         .agg(
             F.sum("total_value").alias("total_revenue"),
-            F.count("order_id").alias("total_orders"),
+            F.sum("item_rows").alias("total_orders"),
             F.sum("price").alias("total_items_revenue"),
             F.sum("freight_value").alias("total_freight_revenue"),
         )
     )
 
 
-def metrics_revenue_by_seller(fact_order_items: DataFrame, fact_orders: DataFrame) -> DataFrame:
+def metrics_revenue_by_seller(fact_order_items: DataFrame, fact_orders: DataFrame,
+                              rollup: DataFrame | None = None) -> DataFrame:
     return (
-        items_of_valid_orders(fact_order_items, fact_orders)
+        _rollup(fact_order_items, fact_orders, rollup)
         .groupBy("seller_id", "seller_state")
         .agg(
             F.sum("price").alias("total_revenue"),
-            F.count("order_id").alias("total_orders"),
+            F.sum("item_rows").alias("total_orders"),
             F.count_distinct("product_id").alias("unique_products"),
         )
     )
@@ -321,11 +352,12 @@ def metrics_cohort(fact_orders: DataFrame, customer_key: str = "customer_id") ->
 
 
 # ---------------------------------------------------------------- A16-A19 + W3-W5
-def product_revenue(fact_order_items: DataFrame, fact_orders: DataFrame) -> DataFrame:
+def product_revenue(fact_order_items: DataFrame, fact_orders: DataFrame,
+                    rollup: DataFrame | None = None) -> DataFrame:
     return (
-        items_of_valid_orders(fact_order_items, fact_orders)
+        _rollup(fact_order_items, fact_orders, rollup)
         .groupBy("product_id", "product_category_name_english")
-        .agg(F.sum("price").alias("total_revenue"), F.count("order_id").alias("total_orders"))
+        .agg(F.sum("price").alias("total_revenue"), F.sum("item_rows").alias("total_orders"))
     )
 
 
@@ -340,10 +372,10 @@ def abc_order() -> list[Column]:
 
 
 def ranked_products(fact_order_items: DataFrame, fact_orders: DataFrame,
-                    n_buckets: int | None = None) -> DataFrame:
+                    n_buckets: int | None = None, rollup: DataFrame | None = None) -> DataFrame:
     """Rank by revenue (ties by product id) and running revenue."""
     return global_rank_running_sum(
-        product_revenue(fact_order_items, fact_orders),
+        product_revenue(fact_order_items, fact_orders, rollup),
         abc_order(), "total_revenue", rank_col="rank", running_col="running_revenue",
         total_col="grand_total", n_buckets=n_buckets,
     )
@@ -359,8 +391,8 @@ def abc_class(running: Column, total: Column) -> Column:
 
 
 def metrics_abc(fact_order_items: DataFrame, fact_orders: DataFrame,
-                n_buckets: int | None = None) -> DataFrame:
-    ranked = ranked_products(fact_order_items, fact_orders, n_buckets)
+                n_buckets: int | None = None, rollup: DataFrame | None = None) -> DataFrame:
+    ranked = ranked_products(fact_order_items, fact_orders, n_buckets, rollup)
     total_d = F.col("grand_total").cast("double")
     return ranked.select(
         "product_id",

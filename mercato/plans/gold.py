@@ -65,11 +65,19 @@ class Marts:
     """The metric marts over a set of gold tables (plus silver reviews)."""
 
     def __init__(self, fact_orders: DataFrame, fact_order_items: DataFrame, reviews: DataFrame,
-                 abc_buckets: int | None = None):
+                 abc_buckets: int | None = None, item_rollup: DataFrame | None = None):
         self.fo = fact_orders
         self.foi = fact_order_items
         self.reviews = reviews
         self.abc_buckets = abc_buckets
+        self._item_rollup = item_rollup
+
+    @cached_property
+    def item_rollup(self) -> DataFrame:
+        """Valid item rows per (product, category, seller, state), shared by three marts."""
+        if self._item_rollup is not None:
+            return self._item_rollup
+        return marts.valid_item_rollup(self.foi, self.fo)
 
     @classmethod
     def of(cls, gold: Gold, abc_buckets: int | None = None) -> "Marts":
@@ -85,11 +93,11 @@ class Marts:
 
     @cached_property
     def metrics_revenue_by_category(self) -> DataFrame:
-        return marts.metrics_revenue_by_category(self.foi, self.fo)
+        return marts.metrics_revenue_by_category(self.foi, self.fo, self.item_rollup)
 
     @cached_property
     def metrics_revenue_by_seller(self) -> DataFrame:
-        return marts.metrics_revenue_by_seller(self.foi, self.fo)
+        return marts.metrics_revenue_by_seller(self.foi, self.fo, self.item_rollup)
 
     @cached_property
     def metrics_delivery(self) -> DataFrame:
@@ -121,7 +129,7 @@ class Marts:
 
     @cached_property
     def metrics_abc(self) -> DataFrame:
-        return marts.metrics_abc(self.foi, self.fo, self.abc_buckets)
+        return marts.metrics_abc(self.foi, self.fo, self.abc_buckets, self.item_rollup)
 
     # The twelve tables a serving layer publishes.
     NAMES = ("metrics_revenue", "metrics_revenue_by_state", "metrics_revenue_by_category",

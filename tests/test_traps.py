@@ -203,8 +203,14 @@ def test_growth_uses_previous_existing_month(spark):
 
 # ------------------------------------------------------------------ W3-W5 / A18 / T13
 def _items(spark, rows):
-    return spark.createDataFrame(rows, "order_id string, product_id string, "
-                                       "product_category_name_english string, price decimal(18,2)")
+    """Item-fact rows (order, product, category, price); seller 's1', no freight."""
+    df = spark.createDataFrame(rows, "order_id string, product_id string, "
+                                     "product_category_name_english string, price decimal(18,2)")
+    return df.withColumns({
+        "order_item_id": F.lit(1), "seller_id": F.lit("s1"), "seller_state": F.lit("SP"),
+        "freight_value": F.lit(Decimal("0")).cast("decimal(18,4)"),
+        "total_value": F.col("price") + F.lit(Decimal("0")).cast("decimal(18,4)"),
+    })
 
 
 def test_abc_edges(spark):
