@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from mercato.contracts import FREIGHT_TYPE, PRICE_TYPE
 from mercato.operators import conform
 from mercato.operators.joins import hot_key_salts, salted_join
 
@@ -110,5 +111,9 @@ def fact_order_items(items: DataFrame, dim_products_df: DataFrame,
                        "product_id", "left", salts=hot["product_id"])
     fact = salted_join(fact, dim_sellers_df.select("seller_id", "seller_state"), "seller_id",
                        "left", salts=hot["seller_id"])
-    return fact.withColumn("total_value", F.col("price") + F.col("freight_value")) \
+    # Money is exact decimal whatever the silver layout (CSV-typed silver carries doubles).
+    price = F.col("price").cast(PRICE_TYPE)
+    freight = F.col("freight_value").cast(FREIGHT_TYPE)
+    return fact.withColumns({"price": price, "freight_value": freight,
+                             "total_value": price + freight}) \
         .select(*FACT_ORDER_ITEMS_COLUMNS)

@@ -217,3 +217,36 @@ def run_all(spark: SparkSession, sf_dir: str, root: str, workers: int = 1) -> di
         "gold": gold(spark, silver_root, gold_root, workers=workers),
         "marts": marts(spark, gold_root, silver_root, marts_root, workers=workers),
     }
+
+
+def run_from_raw(spark: SparkSession, raw_files: dict[str, str], root: str,
+                 workers: int = 1, bronze_format: str = "parquet") -> dict[str, StageReport]:
+    """Raw CSV files -> bronze -> silver -> gold -> marts under ``root``.
+
+    ``raw_files`` maps each silver dataset name (``mercato.contracts``) to its
+    raw CSV path.  Datasets are independent until gold, so each one's
+    bronze + silver chain runs as its own job sequence, ``workers`` at a time.
+    """
+    bronze_root, silver_root, gold_root, marts_root = (
+        os.path.join(root, p) for p in ("bronze", "silver", "gold", "marts"))
+
+    def land(name: str) -> tuple[str, StageReport, StageReport]:
+        describe(spark, f"land {name}")
+        b = bronze(spark, raw_files[name], os.path.join(bronze_root, name), fmt=bronze_format)
+        s = silver(spark, os.path.join(bronze_root, name), name, os.path.join(silver_root, name),
+                   bronze_format=bronze_format)
+        return name, b, s
+
+    if workers <= 1:
+        landed = [land(n) for n in raw_files]
+    else:
+        with ThreadPoolExecutor(max_workers=workers) as pool:
+            landed = list(pool.map(land, raw_files))
+    report = {"bronze": StageReport(), "silver": StageReport()}
+    for name, b, s in landed:
+        report["bronze"].rows[name] = b.rows["bronze"]
+        report["silver"].rows[name] = s.rows["silver"]
+        report["silver"].notes[name] = s.notes
+    report["gold"] = gold(spark, silver_root, gold_root, workers=workers)
+    report["marts"] = marts(spark, gold_root, silver_root, marts_root, workers=workers)
+    return report
