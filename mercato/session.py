@@ -69,7 +69,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint directory of the session.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is.  Only when it is unset (local tests) a fresh scratch folder is made.
+    is; leaving it unset there is an error.  Only a local-mode session (tests,
+    the bench) gets a fresh scratch folder when it is unset.
     """
     try:
         sc = spark.sparkContext
@@ -80,6 +81,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        master = spark.conf.get("spark.master", "") or ""
+        if not master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage: "
+                               "checkpoints and scratch tables must survive executor loss")
         configured = tempfile.mkdtemp(prefix="mercato-ckpt-")
         if sc is None:
             spark.conf.set("spark.checkpoint.dir", configured)
