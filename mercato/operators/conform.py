@@ -17,7 +17,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mercato.contracts import DEDUP_ORDER, FREIGHT_TYPE, KEYS, PAYMENT_TYPE, PRICE_TYPE
+from mercato.contracts import (
+    DEDUP_ORDER,
+    FREIGHT_TYPE,
+    INGESTION_COLUMNS,
+    KEYS,
+    PAYMENT_TYPE,
+    PRICE_TYPE,
+)
 from mercato.functions.scalars import coalesce_false
 
 DATE_FLAGS = ("flag_delivered_before_purchase", "flag_estimated_before_purchase",
@@ -32,7 +39,11 @@ def dedup_by_key(df: DataFrame, keys: list[str], order: list[str] | None = None)
     on partitioning or on task scheduling (unlike ``dropDuplicates(subset)``).
     """
     order = list(order or [])
-    rest = [c for c in df.columns if c not in keys and c not in order]
+    # Ingestion metadata is not part of a row's content: leaving it out of the
+    # tie-break keeps the kept row's contract columns the same and lets the
+    # scan skip those columns.
+    rest = [c for c in df.columns
+            if c not in keys and c not in order and c not in INGESTION_COLUMNS]
     sort_cols = [F.col(c).asc_nulls_first() for c in order + rest]
     w = Window.partitionBy(*keys).orderBy(*sort_cols) if sort_cols else \
         Window.partitionBy(*keys).orderBy(*[F.col(k) for k in keys])
