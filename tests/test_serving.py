@@ -80,3 +80,18 @@ def test_csv_to_bronze_to_silver_with_misspelt_headers(spark, fixture_path, scra
     null_cols = [r["column_name"] for r in rep.notes["optional_nulls"]]
     assert null_cols == ["product_category_name"]
     assert df.where(F.col("product_id") == "p1").first()["product_weight_g"] == 225
+
+
+def test_broadcast_probe_is_bounded(spark):
+    from mercato.operators.joins import broadcast_if_small, row_count_at_most
+    df = spark.range(50)
+    assert row_count_at_most(df, 50) and not row_count_at_most(df, 49)
+    hinted = broadcast_if_small(df, 100)
+    assert "broadcast" in hinted._jdf.queryExecution().analyzed().toString().lower()
+    assert broadcast_if_small(df, 10) is df
+
+
+def test_period_label_is_null_safe(spark):
+    from mercato.functions.scalars import period_label
+    df = spark.createDataFrame([(2018, 3), (None, None), (2018, 12)], "year int, month int")
+    assert [r[0] for r in df.select(period_label()).collect()] == ["2018-03", None, "2018-12"]
