@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -31,6 +32,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path(name: str) -> str:
+    """A file of the installed public tokenizers, at the same place on every executor."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def word_count(text: Column | str) -> Column:
     """Number of words of a text (null: 0)."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD_PATTERN)), F.lit(0)).cast("long")
@@ -137,6 +145,8 @@ class Rolling:
         if values.dtype == np.uint8:
             lut = mix64(np.arange(256, dtype=np.uint64) + np.uint64(0x51 + salt * 1000))
             values = lut[values]
+        elif values.dtype == np.uint32:  # code points
+            values = _char_codes(salt)[values]
         else:
             values = mix64(values.astype(np.uint64) + np.uint64(0x51 + salt * 1000))
         self.sums = np.zeros(n + 1, np.uint64)
@@ -157,6 +167,11 @@ class Rolling:
         return mix64(x)
 
 
+@functools.cache
+def _char_codes(salt: int) -> np.ndarray:
+    return mix64(np.arange(0x110000, dtype=np.uint64) + np.uint64(0x51 + salt * 1000))
+
+
 def _geometric(base: int, n: int) -> np.ndarray:
     out = np.full(n, base, np.uint64)
     out[0] = 1

@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .chat import format_chats, learned_text, read_turns
-from .common import table
+from .common import table, tokenizer_path
 from .mixing import mix
 from .oracle import ORACLE_SQL  # noqa: F401
+from .pii import find
+from .token_files import write_and_read
 
 # Conversation -7 holds control strings of the template as plain text.
 _PROBE = "\\### Assistant: </turn> ok"
@@ -37,7 +39,19 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("doc.doc_id").alias("doc_id"), "size", "source_size", "target", "taken", "copies")
 
 
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return write_and_read(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(F.col("doc.doc_id").alias("doc_id"), "n_email", "n_ip", "n_card", "n_phone", "base_sha256",
+                        "spans")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_token_files": op5_token_files,
+    "op8_pii": op8_pii,
     "op9_chat_format": op9_chat_format,
     "op10_source_mix": op10_source_mix,
 }
