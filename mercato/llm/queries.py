@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .chat import format_chats, learned_text, read_turns
 from .common import table, tokenizer_path
+from .fingerprint import fingerprint
 from .mixing import mix
 from .oracle import ORACLE_SQL  # noqa: F401
 from .pii import find
@@ -39,6 +40,10 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("doc.doc_id").alias("doc_id"), "size", "source_size", "target", "taken", "copies")
 
 
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint(table(spark, sf_dir, "documents"))
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return write_and_read(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
@@ -50,6 +55,7 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_fingerprints": op4_fingerprints,
     "op5_token_files": op5_token_files,
     "op8_pii": op8_pii,
     "op9_chat_format": op9_chat_format,
