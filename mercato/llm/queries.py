@@ -13,6 +13,7 @@ from .fingerprint import fingerprint
 from .mixing import mix
 from .oracle import ORACLE_SQL  # noqa: F401
 from .pii import find
+from .resampling import resample_scores
 from .token_files import write_and_read
 
 # Conversation -7 holds control strings of the template as plain text.
@@ -40,6 +41,10 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("doc.doc_id").alias("doc_id"), "size", "source_size", "target", "taken", "copies")
 
 
+def op1_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint(table(spark, sf_dir, "documents"))
 
@@ -55,6 +60,7 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_importance_resampling": op1_importance_resampling,
     "op4_fingerprints": op4_fingerprints,
     "op5_token_files": op5_token_files,
     "op8_pii": op8_pii,
