@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .chat import format_chats, learned_text, read_turns
 from .common import table, tokenizer_path
 from .fingerprint import fingerprint
+from .jaccard_join import jaccard_components
 from .mixing import mix
 from .oracle import ORACLE_SQL  # noqa: F401
 from .pii import find
@@ -53,6 +54,11 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return write_and_read(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard_components(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", "class_id")
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select(F.col("doc.doc_id").alias("doc_id"), "n_email", "n_ip", "n_card", "n_phone", "base_sha256",
@@ -63,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_importance_resampling": op1_importance_resampling,
     "op4_fingerprints": op4_fingerprints,
     "op5_token_files": op5_token_files,
+    "op7_jaccard_join": op7_jaccard_join,
     "op8_pii": op8_pii,
     "op9_chat_format": op9_chat_format,
     "op10_source_mix": op10_source_mix,
