@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .chat import format_chats, learned_text, read_turns
 from .common import table, tokenizer_path
+from .cross_polytope import nearest
 from .fingerprint import fingerprint
 from .jaccard_join import jaccard_components
 from .mixing import mix
@@ -46,6 +47,10 @@ def op1_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint(table(spark, sf_dir, "documents"))
 
@@ -67,6 +72,7 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_importance_resampling": op1_importance_resampling,
+    "op2_cross_polytope": op2_cross_polytope,
     "op4_fingerprints": op4_fingerprints,
     "op5_token_files": op5_token_files,
     "op7_jaccard_join": op7_jaccard_join,
