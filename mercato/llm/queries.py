@@ -16,6 +16,7 @@ from .mixing import mix
 from .oracle import ORACLE_SQL  # noqa: F401
 from .pii import find
 from .resampling import resample_scores
+from .suffix_dedup import remove_repeats
 from .token_files import write_and_read
 
 # Conversation -7 holds control strings of the template as plain text.
@@ -59,6 +60,11 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return write_and_read(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = jaccard_components(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_shingles", "component_id", "class_id")
@@ -75,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_cross_polytope": op2_cross_polytope,
     "op4_fingerprints": op4_fingerprints,
     "op5_token_files": op5_token_files,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_jaccard_join": op7_jaccard_join,
     "op8_pii": op8_pii,
     "op9_chat_format": op9_chat_format,
