@@ -169,7 +169,7 @@ class Rolling:
 
 @functools.cache
 def _char_codes(salt: int) -> np.ndarray:
-    return mix64(np.arange(0x110000, dtype=np.uint64) + np.uint64(0x51 + salt * 1000))
+    return mix64(np.arange(0x110001, dtype=np.uint64) + np.uint64(0x51 + salt * 1000))
 
 
 def _geometric(base: int, n: int) -> np.ndarray:

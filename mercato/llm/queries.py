@@ -16,6 +16,7 @@ from .mixing import mix
 from .oracle import ORACLE_SQL  # noqa: F401
 from .pii import find
 from .resampling import resample_scores
+from .sampled_segmentation import sample_segmentations
 from .suffix_dedup import remove_repeats
 from .token_files import write_and_read
 
@@ -52,6 +53,10 @@ def op2_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op3_sampled_segmentation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sample_segmentations(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint(table(spark, sf_dir, "documents"))
 
@@ -79,6 +84,7 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_importance_resampling": op1_importance_resampling,
     "op2_cross_polytope": op2_cross_polytope,
+    "op3_sampled_segmentation": op3_sampled_segmentation,
     "op4_fingerprints": op4_fingerprints,
     "op5_token_files": op5_token_files,
     "op6_suffix_dedup": op6_suffix_dedup,
