@@ -10,6 +10,8 @@ are Spark expressions.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -242,18 +244,18 @@ def customer_series(metrics_customers: DataFrame) -> DataFrame:
     return _label(_by_month(metrics_customers.select("year", "month", "new_customers", "avg_ltv")))
 
 
-def _pivot_months(df: DataFrame, value_col: str) -> DataFrame:
+def _pivot_months(df: DataFrame, value_col: str, months: Sequence[int] | None) -> DataFrame:
     """One row per cohort, one column per ``months_since_first`` value.
 
-    Spark finds the distinct pivot values itself (bounded by the calendar
-    span) and plans one aggregate.
+    With ``months`` the columns are fixed and the plan is one aggregate;
+    without, Spark first finds the distinct values (bounded by the calendar span).
     """
-    return df.groupBy("cohort_month").pivot("months_since_first").agg(F.first(value_col)) \
-        .orderBy("cohort_month")
+    pivoted = df.groupBy("cohort_month").pivot("months_since_first", None if months is None else list(months))
+    return pivoted.agg(F.first(value_col)).orderBy("cohort_month")
 
 
-def cohort_matrix(metrics_cohort: DataFrame) -> DataFrame:
-    return _pivot_months(metrics_cohort, "customers")
+def cohort_matrix(metrics_cohort: DataFrame, months: Sequence[int] | None = None) -> DataFrame:
+    return _pivot_months(metrics_cohort, "customers", months)
 
 
 def cohort_retention_long(metrics_cohort: DataFrame) -> DataFrame:
@@ -267,8 +269,8 @@ def cohort_retention_long(metrics_cohort: DataFrame) -> DataFrame:
     return metrics_cohort.withColumn("retention_pct", ratio("customers", month0) * 100)
 
 
-def cohort_retention_pct(metrics_cohort: DataFrame) -> DataFrame:
-    return _pivot_months(cohort_retention_long(metrics_cohort), "retention_pct")
+def cohort_retention_pct(metrics_cohort: DataFrame, months: Sequence[int] | None = None) -> DataFrame:
+    return _pivot_months(cohort_retention_long(metrics_cohort), "retention_pct", months)
 
 
 def cohort_raw(metrics_cohort: DataFrame) -> DataFrame:

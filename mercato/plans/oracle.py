@@ -590,8 +590,9 @@ _q("customer_series", _label("SELECT year, month, new_customers, avg_ltv")
 
 
 def _pivot(value: str, source: str) -> str:
-    """Dynamic pivot: one column per months-since-first value present, like Spark's."""
-    return (f"SELECT * FROM (PIVOT {source} ON months_since_first USING MAX({value}) "
+    """One column for each of the fixed months since the first order."""
+    months = ", ".join(map(str, range(84)))
+    return (f"SELECT * FROM (PIVOT {source} ON months_since_first IN ({months}) USING MAX({value}) "
             f"GROUP BY cohort_month)")
 
 

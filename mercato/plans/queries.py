@@ -51,6 +51,9 @@ class Ctx:
         return Marts.of(self.gold)
 
 
+# Columns of the cohort matrices: the months since a customer's first order that seven years hold.
+COHORT_MONTHS = range(84)
+
 QUERIES: dict[str, QueryFn] = {}
 
 
@@ -489,8 +492,9 @@ _D: dict[str, Callable[[Ctx], DataFrame]] = {
     "customer_kpis": lambda c: serving.customer_kpis(_m(c).metrics_customers),
     "recurrent_customers": lambda c: serving.recurrent_customers(c.gold.fact_orders),
     "customer_series": lambda c: serving.customer_series(_m(c).metrics_customers),
-    "cohort_matrix": lambda c: serving.cohort_matrix(_m(c).metrics_cohort),
-    "cohort_retention_pct": lambda c: serving.cohort_retention_pct(_m(c).metrics_cohort),
+    "cohort_matrix": lambda c: serving.cohort_matrix(_m(c).metrics_cohort, COHORT_MONTHS),
+    "cohort_retention_pct": lambda c: serving.cohort_retention_pct(
+        _m(c).metrics_cohort, COHORT_MONTHS),
     "top_sellers": lambda c: serving.top_sellers(_m(c).metrics_revenue_by_seller,
                                                  c.gold.dim_sellers),
     "top_categories_by_volume": lambda c: serving.top_categories_by_volume(
