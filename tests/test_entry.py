@@ -18,7 +18,7 @@ class Missing(importlib.abc.MetaPathFinder):
 
 sys.meta_path.insert(0, Missing())
 import __spark_entry__ as entry
-print(len(entry.queries()), len(entry.oracle_sql()), any(k.startswith("op") for k in entry.queries()))
+print(len(entry.queries()), len(entry.oracle_sql()), "pipeline" in entry.queries())
 """
 
 
