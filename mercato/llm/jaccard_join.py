@@ -5,12 +5,14 @@ when their similarity is at least ``similarity`` percent.
 
 1. Equal sets become one class; every later step works on classes.
 2. All shingles have one global order: by hash, those that many documents hold last.
-   Two linked sets share a shingle among their first n - ceil(t n) + 1, their
-   *prefix*, whatever the order, so a shared prefix shingle is necessary.
+   Two linked sets share at least c(n) shingles among their first
+   n - ceil(t n) + c(n), their *prefix*, whatever the order (n: of the smaller).
 3. *Pivots.*  Of the classes with a shingle in their prefix, the one with the
    smallest id is its pivot, and all of them belong to the pivot's region.  A
-   class whose shingles have several pivots is replicated to all their
-   regions; both ends of every link meet in at least one region.
+   class whose shingles have several pivots is replicated to their regions,
+   but for those regions of fewest shingles that together hold less than half
+   of the c shingles it must share: of c shared shingles, two classes then still
+   have one region in common, and both ends of every link meet there.
 4. Inside a region, prefixes alone bound how much two sets can share; classes
    with no partner left under that bound leave the region.
 5. *Windows.*  The classes left are joined with their whole sets: the pivot's
@@ -52,6 +54,7 @@ from .shingles import set_hash, shingle_sets
 # Shingles counted as held by many documents: a hint for the global order, any choice is exact.
 COMMON_LEAST, MOST_COMMON = 64, 100_000
 REGION = 4096
+EXTRA = 10  # one prefix shingle more for each so many of a set
 MOST_BROADCAST = 300_000
 _TOP = np.uint64(1 << 63)
 
@@ -78,8 +81,18 @@ def common_shingles(docs: DataFrame, text_col: str, words: int) -> np.ndarray:
     return np.sort(np.array([r[0] for r in rows], np.int64).view(np.uint64))
 
 
+def least_shared(n: int) -> int:
+    """How many prefix shingles a set of n must share with a linked set that is not smaller."""
+    return n // EXTRA + 1
+
+
 def prefix_length(n: int, similarity: int) -> int:
-    return n - -(-similarity * n // 100) + 1
+    return min(n, n - -(-similarity * n // 100) + least_shared(n))
+
+
+def spare(n: int, similarity: int) -> int:
+    """How many shared shingles a set of n may pass over: with its partner's, fewer than they must share."""
+    return (least_shared(-(-similarity * n // 100)) - 1) // 2
 
 
 def ordered_prefix(own: np.ndarray, common: np.ndarray, similarity: int) -> np.ndarray:
@@ -92,9 +105,8 @@ def ordered_prefix(own: np.ndarray, common: np.ndarray, similarity: int) -> np.n
     return np.sort(np.partition(keys, k - 1)[:k]) if k < len(keys) else np.sort(keys)
 
 
-def class_rows(docs: DataFrame, words: int, similarity: int, id_col: str, text_col: str) -> DataFrame:
-    """``id, n, class_id, text_hash, prefix`` of every row."""
-    common = common_shingles(docs, text_col, words)
+def class_rows(docs: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame:
+    """``id, n, class_id, text_hash`` of every row."""
     text = F.col(f"`{text_col}`")
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.xxhash64(text).alias("text_hash"),
                        text.alias("text"))
@@ -102,27 +114,50 @@ def class_rows(docs: DataFrame, words: int, similarity: int, id_col: str, text_c
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text"):
             sets = shingle_sets(*text_bytes(batch.column(2)), words)
-            prefixes = [ordered_prefix(s, common, similarity).view(np.int64) if len(s) else np.zeros(0, np.int64)
-                        for s in sets]
-            ends = np.cumsum([0] + [len(p) for p in prefixes])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array([set_hash(s) for s in sets], pa.int64()), batch.column(1),
+                 pa.array([set_hash(s) for s in sets], pa.int64()), batch.column(1)],
+                ["id", "n", "class_id", "text_hash"])
+
+    return materialize(rows.mapInArrow(run, "id long, n long, class_id long, text_hash long"), "shingle-classes")
+
+
+def class_prefixes(docs: DataFrame, words: int, similarity: int, text_col: str) -> DataFrame:
+    """``class_id, n, spare, prefix`` of every class with words."""
+    common = common_shingles(docs, text_col, words)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, "text"):
+            own = {set_hash(s): s for s in shingle_sets(*text_bytes(batch.column(0)), words) if len(s)}
+            if not own:
+                continue
+            prefixes = [ordered_prefix(s, common, similarity).view(np.int64) for s in own.values()]
+            ends = np.cumsum([0] + [len(p) for p in prefixes])
+            sizes = [len(s) for s in own.values()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(own), pa.int64()), pa.array(sizes, pa.int64()),
+                 pa.array([spare(n, similarity) for n in sizes], pa.int64()),
                  pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(prefixes)))],
-                ["id", "n", "class_id", "text_hash", "prefix"])
+                ["class_id", "n", "spare", "prefix"])
 
-    return materialize(rows.mapInArrow(run, "id long, n long, class_id long, text_hash long, prefix array<long>"),
-                       "shingle-classes")
+    rows = docs.select(F.col(f"`{text_col}`").alias("text")).mapInArrow(
+        run, "class_id long, n long, spare long, prefix array<long>")
+    return materialize(rows.groupBy("class_id").agg(*[F.first(c).alias(c) for c in ("n", "spare", "prefix")]),
+                       "class-prefixes")
 
 
 # Regions -----------------------------------------------------------------------
 
 def region_pairs(classes: DataFrame) -> DataFrame:
     """``pivot, x``: each class in each region it belongs to, the pivot itself among them."""
-    postings = classes.select(F.explode("prefix").alias("shingle"), "class_id")
+    postings = classes.select(F.explode("prefix").alias("shingle"), "class_id", "spare")
     holders = Window.partitionBy("shingle").orderBy("class_id").rowsBetween(Window.unboundedPreceding, 0)
-    pairs = (postings.withColumn("pivot", F.first("class_id").over(holders)).filter("pivot <> class_id")
-             .select("pivot", F.col("class_id").alias("x")).distinct())
+    held = (postings.withColumn("pivot", F.first("class_id").over(holders)).filter("pivot <> class_id")
+            .groupBy(F.col("class_id").alias("x"), "pivot").agg(F.count(F.lit(1)).alias("shingles"),
+                                                               F.first("spare").alias("spare")))
+    # a class has at most one row per shingle of its own prefix here
+    fewest = Window.partitionBy("x").orderBy("shingles", "pivot").rowsBetween(Window.unboundedPreceding, 0)
+    pairs = held.withColumn("so_far", F.sum("shingles").over(fewest)).filter("so_far > spare").select("pivot", "x")
     pairs = materialize(pairs, "regions")
     return pairs.unionByName(pairs.select("pivot", F.col("pivot").alias("x")).distinct())
 
@@ -355,11 +390,10 @@ def jaccard_components(docs: DataFrame, words: int = 4, similarity: int = 85, id
 
     ``root`` is the component's smallest class (null without words), ``component_id`` is the smallest id that links of ``similarity`` percent lead to.
     """
-    rows = class_rows(docs, words, similarity, id_col, text_col)
+    rows = class_rows(docs, words, id_col, text_col)
     filled = rows.filter("n > 0")
     classes = filled.groupBy("class_id").agg(F.min("id").alias("smallest"), F.min("text_hash").alias("text_hash"))
-    prefixes = filled.groupBy("class_id").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"))
-    prefixes = materialize(prefixes, "class-prefixes")
+    prefixes = class_prefixes(docs, words, similarity, text_col)
     pairs = region_pairs(prefixes)
     members = pairs.join(prefixes, pairs["x"] == prefixes["class_id"]).select("pivot", "x", "n", "prefix")
     active = materialize(_by_unit(units(members), lambda t: active_members(t, similarity), "pivot long, x long")
