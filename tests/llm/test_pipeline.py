@@ -96,3 +96,21 @@ def test_empty_documents(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SF)
         assert docs.count() == 0
+
+
+def test_nulls_repeats_blank_and_long_texts_pass_all_stages(spark):
+    schema = spark.read.parquet(f"{SF}/documents.parquet").schema
+    plain = "one text of plain words that nobody else has written down yet number"
+    rows = [(None, None, None, None, None), (None, plain, None, None, None), (1, "", "en", "a", 0),
+            (2, " \n\t", "en", "a", None), (3, "long words here " * 20_000, "en", "b", 1), (4, plain + " four", "en", None, 1),
+            (4, plain + " four", "en", None, 1), (5, "mail me.at@host.example.org now", None, "b", 1), (5, None, "en", "c", 2)]
+    docs = spark.createDataFrame(rows, schema)
+    found = []
+    for i, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        docs = materialize(stage(spark, docs, SF), f"test-edges-{i}")
+        found.append(docs)
+    near = [(r.doc_id, r.text) for r in found[1].collect()]
+    assert near.count((4, plain + " four")) == 1 and (None, None) in near and (1, "") in near and (5, None) in near
+    redacted = {(r.doc_id, r.text) for r in found[2].collect()}
+    assert (5, "mail [EMAIL] now") in redacted and (None, None) in redacted
+    assert all(r.decodes for r in found[4].collect())
