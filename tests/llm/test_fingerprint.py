@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 
+from llm_fixtures import as_docs, docs  # noqa: F401
 from mercato.llm import fingerprint as fp
 from mercato.llm.queries import op4_fingerprints
 

@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from llm_fixtures import as_docs, docs  # noqa: F401
 from mercato.llm import jaccard_join as jj
 from mercato.llm.common import text_bytes
 from mercato.llm.queries import op7_jaccard_join

@@ -2,6 +2,7 @@ import re
 
 import pytest
 
+from llm_fixtures import as_docs, docs  # noqa: F401
 from mercato.llm.mixing import WEIGHTS, mix, repeated
 from mercato.llm.queries import op10_source_mix
 

@@ -3,6 +3,7 @@ import re
 import numpy as np
 import pyarrow as pa
 
+from llm_fixtures import as_docs, docs  # noqa: F401
 from mercato.llm import resampling as rs
 from mercato.llm.common import text_bytes
 from mercato.llm.queries import op1_importance_resampling

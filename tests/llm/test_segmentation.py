@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from sentencepiece import SentencePieceProcessor
 
+from llm_fixtures import as_docs, docs  # noqa: F401
 from mercato.llm import sampled_segmentation as ss
 from mercato.llm.common import tokenizer_path
 from mercato.llm.lattice import Lattices, Pieces, unit_starts, written

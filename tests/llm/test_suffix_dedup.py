@@ -5,6 +5,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from llm_fixtures import as_docs, docs  # noqa: F401
 from mercato.llm import suffix_dedup as sd
 from mercato.llm.deep_shallow import BlindTrie, common_prefix, deep_shallow_order
 from mercato.llm.queries import op6_suffix_dedup

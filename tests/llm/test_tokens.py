@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
+from llm_fixtures import as_docs, docs  # noqa: F401
 from mercato.llm.byte_bpe import WordEncoder
 from mercato.llm.common import tokenizer_path
 from mercato.llm.queries import op5_token_files
