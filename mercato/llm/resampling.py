@@ -38,7 +38,7 @@ BUCKETS = 1 << 14
 TARGET_DOCS = 5000
 LEVEL_DOCS = 5000
 MISSED = 0.001
-SLACK = 0.5
+SLACK = 3.0
 SMOOTHING = 1.0
 SEED = 1
 UNIT = 1 << 20
