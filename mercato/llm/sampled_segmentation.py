@@ -211,7 +211,7 @@ def sample_segmentations(docs: DataFrame, model: str, samples: int = SAMPLES, id
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = Pieces(model)
-        for batch in byte_pieces(batches, "text", 4 << 20):
+        for batch in byte_pieces(batches, "text", 1 << 20):
             texts = [t or "" for t in batch.column(2).to_pylist()]
             search = Search(pieces, texts, batch.column(1).to_numpy(), seed)
             found = search.run(samples)
