@@ -221,7 +221,7 @@ def nearest(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector
     points = materialize(_place(classes, tables, 1, None, seed), "bucket-points")
     bands = [r[0] for r in points.select("band").distinct().orderBy("band").collect()]  # powers of two
     if not bands:
-        return spark_empty(vectors)
+        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     visits = _place(queries, tables, probes, bands, seed)
     found = materialize(_candidates(points, visits, k + 1), "candidates")
     ranked = materialize(_ranked(found, members, k), "ranked")
@@ -238,7 +238,3 @@ def nearest(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector
     return hits.select("query_id", F.posexplode("hits").alias("place", "hit")).select(
         "query_id", (F.col("place") + 1).cast("int").alias("rank"), F.col("hit.vec_id").alias("vec_id"),
         F.col("hit.score").alias("score"))
-
-
-def spark_empty(df: DataFrame) -> DataFrame:
-    return df.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
