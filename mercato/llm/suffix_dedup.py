@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from mercato.operators.joins import broadcast_if_small, row_count_at_most
+from mercato.operators.joins import broadcast_if_small
 
 from .common import Rolling, grouped, materialize, mix64, pieces, text_bytes
 from .deep_shallow import common_prefix, deep_shallow_order
@@ -101,16 +101,10 @@ def anchor_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.mapInArrow(run, "gram long, context long, doc long, first long, before int, windows int")
 
 
-def _small(per_doc: DataFrame, items: DataFrame) -> DataFrame:
-    """``per_doc`` to be broadcast if its lists hold few enough ``items`` in all."""
-    return F.broadcast(per_doc) if row_count_at_most(items, MOST_BROADCAST) else per_doc
-
-
 def context_bytes(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``gram, context, before, windows, bytes`` of every wanted context, from the text of one document that has it."""
     per_doc = wanted.groupBy("doc").agg(F.collect_list(F.struct("gram", "context", "first", "before", "windows"))
                                         .alias("items")).withColumnRenamed("doc", "of")
-    per_doc = _small(materialize(per_doc, "wanted-contexts"), wanted)
     rows = docs.select(_key(id_col, text_col).alias("doc"), F.col(f"`{text_col}`").alias("text"))
     rows = rows.join(per_doc, rows["doc"] == per_doc["of"]).select("text", "items")
 
@@ -256,12 +250,11 @@ def merged(spans: list) -> list[tuple[int, int]]:
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept``: one row per input row; ``kept`` holds the remaining bytes."""
-    spans = materialize(repeated_spans(docs, id_col, text_col).distinct(), "repeated-spans")
+    spans = repeated_spans(docs, id_col, text_col).distinct()
     per_doc = spans.groupBy("doc").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
-    per_doc = materialize(per_doc.withColumnRenamed("doc", "of"), "spans")
+    per_doc = per_doc.withColumnRenamed("doc", "of")
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"),
                        _key(id_col, text_col).alias("doc"))
-    per_doc = _small(per_doc, spans)
     rows = rows.join(per_doc, rows["doc"] == per_doc["of"], "left").select("doc_id", "text", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
