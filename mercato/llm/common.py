@@ -32,6 +32,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+ROWS_PER_BATCH = 2048
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def bound_batches(df: DataFrame) -> None:
+    """Let at most ``ROWS_PER_BATCH`` rows come to a Python task at once, as the session may hold long texts."""
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(_BATCH_ROWS, "10000")) <= ROWS_PER_BATCH:
+        conf.set(_BATCH_ROWS, str(ROWS_PER_BATCH))
+
+
 def tokenizer_path(name: str) -> str:
     """A file of the installed public tokenizers, at the same place on every executor."""
     import public_tokenizers
@@ -61,7 +72,7 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
-def pieces(batches: Iterable[pa.RecordBatch], column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def pieces(batches: Iterable[pa.RecordBatch], column: str, most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Split (never join) batches so that each holds about ``most`` bytes of ``column``.
 
     A text longer than that comes alone and whole.

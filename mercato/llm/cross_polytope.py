@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from mercato.operators.joins import broadcast_if_small
 
-from .common import grouped, materialize
+from .common import bound_batches, grouped, materialize
 
 TABLES = 8
 PROBES = 10
@@ -205,6 +205,7 @@ def _ranked(found: DataFrame, members: DataFrame, k: int) -> DataFrame:
 def nearest(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col: str = "embedding",
             k: int = NEAREST, tables: int = TABLES, probes: int = PROBES, seed: int = SEED) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` nearest found of every row for which ``is_query`` holds."""
+    bound_batches(vectors)
     vector = F.col(f"`{vector_col}`")
     rows = (vectors.select(F.col(f"`{id_col}`").cast("long").alias("id"), vector.alias("vector"),
                            F.coalesce(is_query, F.lit(False)).alias("asks"))

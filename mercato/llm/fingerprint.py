@@ -40,7 +40,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Rolling, materialize, pieces
+from .common import Rolling, bound_batches, materialize, pieces
 
 WINDOW = 64
 RUN = 64
@@ -218,6 +218,7 @@ def _batch(columns: list[list], part: int | None = None, kind: int = _DONE, text
 
 def fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Fingerprints of every text and of its edited text, and their likenesses: one row per input row."""
+    bound_batches(docs)
     ordered = (docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
                .withColumn("tie", F.xxhash64("text"))
                .repartitionByRange("id", "tie").sortWithinPartitions("id", "tie").drop("tie"))

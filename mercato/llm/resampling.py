@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Rolling, materialize, mix64, pieces, text_bytes
+from .common import Rolling, bound_batches, materialize, mix64, pieces, text_bytes
 
 BUCKETS = 1 << 14
 TARGET_DOCS = 5000
@@ -170,6 +170,7 @@ def kth_largest(scores: DataFrame, k: int) -> int:
 
 def _cut(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str):
     """The model, the scores and the smallest key that is kept; None without usable labels or rows."""
+    bound_batches(docs)
     ids = labelled_sample(labels, TARGET_DOCS + LEVEL_DOCS)
     # one in two fits the target model, the others set the level
     model = fit(docs, ids[::2], id_col, text_col)

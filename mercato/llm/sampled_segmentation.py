@@ -34,6 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import bound_batches
 from .common import pieces as byte_pieces
 from .common import spans_to_index
 from .lattice import Lattices, Pieces, streams, uniforms, unit_starts, written
@@ -205,6 +206,7 @@ def sample_segmentations(docs: DataFrame, model: str, samples: int = SAMPLES, id
 
     ``decodes`` says whether the ids give the text back.
     """
+    bound_batches(docs)
     text = F.col(f"`{text_col}`")
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
                        F.xxhash64(F.lit(seed), F.col(f"`{id_col}`"), text).alias("key"), text.alias("text"))

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from mercato.operators.joins import broadcast_if_small
 
-from .common import Rolling, grouped, materialize, mix64, pieces, text_bytes
+from .common import Rolling, bound_batches, grouped, materialize, mix64, pieces, text_bytes
 from .deep_shallow import common_prefix, deep_shallow_order
 
 LENGTH = 400
@@ -250,6 +250,7 @@ def merged(spans: list) -> list[tuple[int, int]]:
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept``: one row per input row; ``kept`` holds the remaining bytes."""
+    bound_batches(docs)
     spans = repeated_spans(docs, id_col, text_col).distinct()
     per_doc = spans.groupBy("doc").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
     per_doc = per_doc.withColumnRenamed("doc", "of")

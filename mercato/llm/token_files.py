@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from mercato.operators.joins import broadcast_if_small
 from mercato.sources.sinks import scratch_path
 
-from .common import pieces
+from .common import bound_batches, pieces
 
 MAGIC = b"FWP1"
 BLOCK_IDS = 4096
@@ -107,6 +107,7 @@ def _encoder(path: str):
 def write_tokens(docs: DataFrame, tokenizer: str, path: str, id_col: str = "doc_id", text_col: str = "text",
                  end_id: int = END_ID, segment_ids: int = SEGMENT_IDS) -> str:
     """Encode every whole text and write the file set to ``path``."""
+    bound_batches(docs)
     ordered = (docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
                .withColumn("tie", F.xxhash64("text"))
                .repartitionByRange("id", "tie").sortWithinPartitions("id", "tie").drop("tie"))
@@ -129,7 +130,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str, id_col: str = "doc_
                                               ["file", "segment", "start", "n_ids", "doc_ids", "doc_starts",
                                                "doc_counts", "packed"])
 
-        for batch in pieces(batches, "text"):
+        for batch in pieces(batches, "text", 4 << 20):  # the more text, the rarer new words
             texts = [t or "" for t in batch.column(1).to_pylist()]
             flat, n = encoder.encode(texts)
             ends = np.cumsum(n)
