@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 
 from mercato.operators.joins import broadcast_if_small
 
-from .common import grouped, materialize, pieces, spans_to_index, text_bytes
+from .common import bound_batches, grouped, materialize, pieces, spans_to_index, text_bytes
 from .components import components
 from .shingles import set_hash, shingle_sets
 
@@ -390,18 +390,20 @@ def jaccard_components(docs: DataFrame, words: int = 4, similarity: int = 85, id
 
     ``root`` is the component's smallest class (null without words), ``component_id`` is the smallest id that links of ``similarity`` percent lead to.
     """
+    bound_batches(docs)
     rows = class_rows(docs, words, id_col, text_col)
     filled = rows.filter("n > 0")
     classes = filled.groupBy("class_id").agg(F.min("id").alias("smallest"), F.min("text_hash").alias("text_hash"))
     prefixes = class_prefixes(docs, words, similarity, text_col)
-    pairs = region_pairs(prefixes)
-    members = pairs.join(prefixes, pairs["x"] == prefixes["class_id"]).select("pivot", "x", "n", "prefix")
+    pairs = broadcast_if_small(region_pairs(prefixes), MOST_BROADCAST)
+    members = prefixes.join(pairs, prefixes["class_id"] == pairs["x"]).select("pivot", "x", "n", "prefix")
     active = materialize(_by_unit(units(members), lambda t: active_members(t, similarity), "pivot long, x long")
                          .distinct(), "active-members")
     wanted = active.select(F.col("x").alias("class_id")).distinct()
     wanted = materialize(wanted.join(classes, "class_id").select("class_id", "text_hash"), "wanted-classes")
     sets = materialize(whole_sets(docs, wanted, words, text_col), "whole-sets")
-    joined = active.join(sets, active["x"] == sets["class_id"]).select("pivot", "x", "own")
+    active = broadcast_if_small(active, MOST_BROADCAST)
+    joined = sets.join(active, sets["class_id"] == active["x"]).select("pivot", "x", "own")
     links = _by_unit(units(joined), lambda t: region_links(t, similarity), "a long, b long")
     roots = components(links)
     smallest = classes.select("class_id", "smallest")
