@@ -35,6 +35,23 @@ def test_held_out_labels_are_told_apart(spark):
     assert len(bad) > 50 and np.mean(bad) < 0.3
 
 
+def test_op1_held_out_short_bad_and_toxic_documents_are_dropped(spark):
+    docs, labels = (spark.read.parquet(f"{SF01}/{t}.parquet") for t in ("documents", "labels"))
+    split = labels.selectExpr("*", "xxhash64(doc_id, 99) % 2 = 0 AS seen")
+    kept = {r.doc_id for r in rs.resample_scores(docs, split.filter("seen").drop("seen")).collect()}
+    rest = (split.filter("NOT seen").join(docs, "doc_id").selectExpr(
+        "doc_id", "quality", "toxic", "size(split(text, ' ')) AS words").collect())
+    share = lambda own: np.mean([r.doc_id in kept for r in own])
+    short = [r for r in rest if r.quality == 0 and r.words < 150]
+    toxic = [r for r in rest if r.quality == 1 and r.toxic == 1]
+    good = [r for r in rest if r.quality == 1 and r.toxic == 0]
+    print("op1 kept: good", share(good), "bad", share([r for r in rest if r.quality == 0]), "short bad", share(short),
+          len(short), "toxic of quality 1", share(toxic), len(toxic), "all", len(kept))
+    assert len(short) > 20 and share(short) < 0.1
+    assert len(toxic) > 100 and share(toxic) < 0.35  # a quarter of them holds no toxic word
+    assert share(good) > 0.99
+
+
 def test_kth_largest_and_layout(spark):
     rng = np.random.default_rng(2)
     keys = [int(k) for k in np.concatenate([rng.integers(-10**12, 10**12, 500), np.full(300, 7), [5, -(10**15)]])]
