@@ -19,18 +19,20 @@ when their similarity is at least ``similarity`` percent.
    distances first, then cells around further pivots.  A class is in the cell of its
    nearest pivot and, by the triangle inequality, in each cell whose pivot
    is at most 2 * (1 - t) further away; cells are joined the same way,
-   recursively, and small ones pair by pair.  Classes known to be connected are not
-   compared again.
-6. Links become components; every document gets the smallest id in its own.
+   recursively, and small ones pair by pair.
+6. A linked pair counts in the smallest region that both its classes are in, and there in
+   one unit, for both ends and as often as the other class has rows.  Links become
+   components; every document gets the smallest id in its own.  Where links are not
+   counted, classes known to be connected are not compared again.
 
 A region beyond ``REGION`` classes is cut into blocks, and each pair of blocks
 is one unit of work with the pivot in it, so a unit's memory is bounded and no
 class, pair or candidate is dropped.  Only links of a region's spanning
-forest leave it, never all its pairs.  Shingles and sets are told apart by
+forest and each class's number of links leave it, never all its pairs.  Shingles and sets are told apart by
 64-bit hashes.
 
 Edge cases: a text with fewer words than a shingle is one shingle; a null,
-empty or blank text is the empty set, linked with nothing, its own component; null
+empty or blank text is the empty set, linked with nothing, its own component, with no links; null
 ids are ignored by the smallest id (a component of null ids alone has a null
 id); repeated rows are all returned; texts of any length are used whole; an empty
 table gives no rows; columns beside the named ones are ignored.
@@ -293,7 +295,9 @@ class MetricJoin:
     CELLS = 8
     SMALL = 24
 
-    def __init__(self, index: Index, similarity: int, block: np.ndarray, i: int, j: int):
+    def __init__(self, index: Index, similarity: int, block: np.ndarray, i: int, j: int, every: bool = False):
+        # with ``every``, all links are found and kept as a matrix of the unit's members
+        self.near = np.zeros((index.n, index.n), bool) if every else None
         self.index, self.similarity, self.block, self.i, self.j = index, similarity, block, i, j
         self.size = np.diff(index.ends)
         self.radius = 1 - similarity / 100
@@ -307,13 +311,16 @@ class MetricJoin:
         may = _may_pair(self.block, u, self.i, self.j)
         if not isinstance(may, slice):
             near &= may[members]
-        for v in members[near]:
-            if v != u:
-                self.forest.link(u, int(v))
+        if self.near is not None:
+            self.near[u, members[near]] = self.near[members[near], u] = True
+        else:
+            for v in members[near]:
+                if v != u:
+                    self.forest.link(u, int(v))
         return 1 - shared / union
 
     def join(self, members: np.ndarray) -> None:
-        if len(members) < 2 or self.forest.connected(members):
+        if len(members) < 2 or self.near is None and self.forest.connected(members):
             return
         if len(members) <= self.SMALL:
             self.one_by_one(members)
@@ -338,17 +345,55 @@ class MetricJoin:
             self.one_by_one(members)
 
     def one_by_one(self, members: np.ndarray) -> None:
-        """Every member is a pivot in turn, for those after it that are not connected with it yet."""
+        """Every member is a pivot in turn, for those after it (without ``every``, that are not connected with it yet)."""
         for k in range(len(members) - 1):
             u, rest = int(members[k]), members[k + 1:]
-            mine = self.forest.root(u)
-            rest = rest[[self.forest.root(int(v)) != mine for v in rest]]
+            if self.near is None:
+                mine = self.forest.root(u)
+                rest = rest[[self.forest.root(int(v)) != mine for v in rest]]
             small, large = np.minimum(self.size[u], self.size[rest]), np.maximum(self.size[u], self.size[rest])
             rest = rest[100 * small >= self.similarity * large]
             if len(rest):
                 self.pivot(u, rest)
 
 
+def region_counts(t: pa.Table, similarity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+    """A spanning forest of the links among the sets of a unit, as (a, b, 0), and every member's links, as (x, x, links).
+
+    ``earlier`` holds the smaller regions that a member is in: pairs that share one are counted there.
+    """
+    index, earlier = Index(*_flat(t.column("own"))), Index(*_flat(t.column("earlier")))
+    block, rows, x = (t.column(c).to_numpy() for c in ("block", "rows", "x"))
+    i, j = t.column("i")[0].as_py(), t.column("j")[0].as_py()
+    work = MetricJoin(index, similarity, block, i, j, every=True)
+    everyone = np.arange(index.n)
+    work.pivot(0, everyone)  # the region's own pivot, where it is still there, comes first
+    work.join(everyone[1:])
+    near = work.near
+    near[everyone, everyone] = False
+    counts = np.zeros(index.n, np.int64)
+    links, fresh = [], np.ones(index.n, bool)
+    for start in range(index.n):
+        todo = [start] if fresh[start] else []
+        fresh[start] = False
+        while todo:
+            u = todo.pop()
+            own = np.flatnonzero(near[u] & fresh)
+            fresh[own] = False
+            links += [(u, v) for v in own.tolist()]
+            todo += own.tolist()
+        here = near[start] & (earlier.shared(start) == 0) if near[start].any() else near[start]
+        if i != j:  # the pivot is in every unit: its pairs count where the other end's block meets itself
+            here = here & (block >= 0) & (block[start] >= 0)
+        counts[start] = rows[here].sum()
+    if not links:
+        return None
+    some = counts > 0
+    a, b = np.array(links).T
+    return (np.concatenate([x[a], x[some]]), np.concatenate([x[b], x[some]]),
+            np.concatenate([np.zeros(len(a), np.int64), counts[some]]))
+
+
 def region_links(t: pa.Table, similarity: int) -> tuple[np.ndarray, np.ndarray] | None:
     """A spanning forest of the links among the sets of a unit."""
     index = Index(*_flat(t.column("own")))
@@ -385,15 +430,17 @@ def whole_sets(docs: DataFrame, wanted: DataFrame, words: int, text_col: str) ->
 
 
 def jaccard_components(docs: DataFrame, words: int = 4, similarity: int = 85, id_col: str = "doc_id",
-                       text_col: str = "text") -> DataFrame:
-    """``doc_id, text_hash, n_shingles, class_id, root, component_id``: one row per input row.
+                       text_col: str = "text", count_links: bool = True) -> DataFrame:
+    """``doc_id, text_hash, n_shingles, class_id, root, component_id, n_links``: one row per input row.
 
+    ``n_links`` is the number of other rows that a row links with, those of its own class among them (null without ``count_links``).
     ``root`` is the component's smallest class (null without words), ``component_id`` is the smallest id that links of ``similarity`` percent lead to.
     """
     bound_batches(docs)
     rows = class_rows(docs, words, id_col, text_col)
     filled = rows.filter("n > 0")
-    classes = filled.groupBy("class_id").agg(F.min("id").alias("smallest"), F.min("text_hash").alias("text_hash"))
+    classes = filled.groupBy("class_id").agg(F.min("id").alias("smallest"), F.min("text_hash").alias("text_hash"),
+                                             F.count(F.lit(1)).alias("rows"))
     prefixes = class_prefixes(docs, words, similarity, text_col)
     pairs = broadcast_if_small(region_pairs(prefixes), MOST_BROADCAST)
     members = prefixes.join(pairs, prefixes["class_id"] == pairs["x"]).select("pivot", "x", "n", "prefix")
@@ -402,21 +449,39 @@ def jaccard_components(docs: DataFrame, words: int = 4, similarity: int = 85, id
     wanted = active.select(F.col("x").alias("class_id")).distinct()
     wanted = materialize(wanted.join(classes, "class_id").select("class_id", "text_hash"), "wanted-classes")
     sets = materialize(whole_sets(docs, wanted, words, text_col), "whole-sets")
-    active = broadcast_if_small(active, MOST_BROADCAST)
-    joined = sets.join(active, sets["class_id"] == active["x"]).select("pivot", "x", "own")
-    links = _by_unit(units(joined), lambda t: region_links(t, similarity), "a long, b long")
+    small = broadcast_if_small(active, MOST_BROADCAST)
+    if count_links:
+        # a class has at most one region per shingle of its own prefix
+        own = active.groupBy(F.col("x").alias("class_id")).agg(F.collect_list("pivot").alias("regions"))
+        sets = sets.join(own, "class_id").join(classes.select("class_id", "rows"), "class_id")
+        joined = sets.join(small, sets["class_id"] == small["x"]).select(
+            "pivot", "x", "own", "rows", F.expr("filter(regions, r -> r < pivot)").alias("earlier"))
+        found = materialize(_by_unit(units(joined), lambda t: region_counts(t, similarity), "a long, b long, n long"),
+                            "region-counts")
+        links = found.filter("a <> b").select("a", "b")
+        counts = found.filter("a = b").groupBy(F.col("a").alias("counted")).agg(F.sum("n").alias("n"))
+    else:
+        joined = sets.join(small, sets["class_id"] == small["x"]).select("pivot", "x", "own")
+        links = _by_unit(units(joined), lambda t: region_links(t, similarity), "a long, b long")
     roots = components(links)
-    smallest = classes.select("class_id", "smallest")
+    smallest = classes.select("class_id", "smallest", "rows")
     of_class = smallest.join(roots, smallest["class_id"] == roots["node"], "left").select(
-        "class_id", "smallest", F.coalesce("root", "class_id").alias("root"))
+        "class_id", "smallest", F.coalesce("root", "class_id").alias("root"), "rows")
+    if count_links:
+        of_class = of_class.join(counts, of_class["class_id"] == counts["counted"], "left").withColumn(
+            "n_links", F.coalesce("n", F.lit(0)) + F.col("rows") - 1).drop("counted", "n")
+    else:
+        of_class = of_class.withColumn("n_links", F.lit(None).cast("long"))
     of_class = materialize(of_class, "class-roots")
     of_root = of_class.groupBy("root").agg(F.min("smallest").alias("component_id"))
-    ids = materialize(of_class.join(of_root, "root").select(F.col("class_id").alias("of"), "root", "component_id"),
+    ids = materialize(of_class.join(of_root, "root").select(F.col("class_id").alias("of"), "root", "component_id",
+                                                        "n_links"),
                       "class-components")
     linked = filled.join(ids, filled["class_id"] == ids["of"]).select(
-        "id", "text_hash", "n", "class_id", "root", "component_id")
+        "id", "text_hash", "n", "class_id", "root", "component_id", "n_links")
     alone = rows.filter("n = 0").select("id", "text_hash", "n", "class_id", F.lit(None).cast("long").alias("root"),
-                                        F.col("id").alias("component_id"))
+                                        F.col("id").alias("component_id"),
+                                        F.lit(0 if count_links else None).cast("long").alias("n_links"))
     return linked.unionByName(alone).withColumnsRenamed({"id": "doc_id", "n": "n_shingles"})
 
 
@@ -426,7 +491,8 @@ def keep_one_per_component(docs: DataFrame, words: int = 5, similarity: int = 80
 
     Rows without words are linked with nothing and all stay.
     """
-    found = jaccard_components(docs, words, similarity, id_col, text_col).filter("n_shingles > 0")
+    found = jaccard_components(docs, words, similarity, id_col, text_col, count_links=False).filter(
+        "n_shingles > 0")
     keys = found.groupBy("root", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("rows")).withColumn(
         "rank", F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash"))
     first = keys.groupBy(F.col("root").alias("of")).agg(F.min("rank").alias("first"))

@@ -72,7 +72,7 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = jaccard_components(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "n_shingles", "component_id", "class_id")
+    return found.select("doc_id", "n_shingles", "component_id", "class_id", "n_links")
 
 
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -121,3 +121,19 @@ def test_one_document_of_each_group_stays(spark, as_docs):
     assert got == sorted([(3, base + " tail"), (7, rows[4][1]), (8, ""), (8, ""), (None, None), rows[8], (11, "once more")],
                          key=str)
     assert jj.jaccard_components(as_docs(rows).limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("region", [4096, 7])
+def test_op7_n_links_counts_every_linked_row(spark, as_docs, monkeypatch, region):
+    monkeypatch.setattr(jj.units, "__defaults__", (region,))
+    rows = [(i, t) for i, t in enumerate(families(random.Random(9), 300))]
+    base = [f"w{i}" for i in range(100)]
+    rows += [(1000 + i, " ".join([*base, f"end{i}"])) for i in range(40)]  # all linked with each other
+    rows += [(1100, rows[-1][1]), (1101, ""), (1102, None)]
+    sets = [plain_set(t, 4) for _, t in rows]
+    want = {}
+    for i, (key, _) in enumerate(rows):
+        want[key] = sum(i != j and bool(sets[i]) and 100 * len(sets[i] & s) >= 85 * len(sets[i] | s)
+                        for j, s in enumerate(sets))
+    got = {r.doc_id: r.n_links for r in jj.jaccard_components(as_docs(rows)).collect()}
+    assert got == want and got[1000] == 40
