@@ -1,5 +1,9 @@
 """DuckDB SQL for the queries of this subpackage that SQL can express."""
 
+from __future__ import annotations
+
+from .licenses import TEMPLATES, need_of, width_of, words_of
+
 ORACLE_SQL: dict[str, str] = {}
 
 ORACLE_SQL["op9_chat_format"] = r"""
@@ -22,3 +26,52 @@ SELECT conv_id, count(*) AS n_turns,
        count(*) FILTER (WHERE opens) AS n_merged
 FROM marked GROUP BY conv_id
 """
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_TEMPLATE_ROWS = ",\n    ".join(
+    f"({i}, {_text(t.label)}, {str(t.base).lower()}, {str(t.consecutive).lower()}, {need_of(t)}, {width_of(t)}, "
+    f"[{', '.join(map(_text, words_of(t.text)))}])" for i, t in enumerate(TEMPLATES))
+
+# Every template against every block, without any filter.
+ORACLE_SQL["op11_license_scan"] = rf"""
+WITH template(number, label, base, consecutive, need, width, words) AS (VALUES
+    {_TEMPLATE_ROWS}
+), own AS (
+  SELECT DISTINCT number, need, width, unnest(words) AS word FROM template
+), text AS (
+  SELECT row_number() OVER () AS row_id, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM documents
+), hit AS (
+  SELECT * FROM (SELECT row_id, unnest(words) AS word, unnest(range(len(words))) AS place FROM text)
+  WHERE word IN (SELECT word FROM own)
+), shared AS (
+  SELECT row_id, number, place // (width // 2) - early AS block, count(DISTINCT word) AS n
+  FROM hit JOIN own USING (word), (VALUES (0), (1)) AS e(early)
+  WHERE place // (width // 2) >= early
+  GROUP BY ALL HAVING count(DISTINCT word) >= any_value(need)
+), loose AS (
+  SELECT row_id, number, label, base, NULL AS place, n / len(list_distinct(words)) AS score
+  FROM shared JOIN template USING (number) WHERE NOT consecutive
+), strict AS (
+  SELECT row_id, number, label, base, place, 1.0 AS score
+  FROM hit JOIN template t ON t.consecutive AND hit.word = t.words[1] JOIN text USING (row_id)
+  WHERE text.words[place + 1:place + len(t.words)] = t.words
+), found AS (
+  SELECT row_id, count(*) FILTER (WHERE base) AS n_base, min(place) FILTER (WHERE base) AS first_word,
+         max(place) FILTER (WHERE base) AS last_word,
+         string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE base) AS base_labels,
+         string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(score) AS score
+  FROM (SELECT * FROM loose UNION ALL SELECT * FROM strict) GROUP BY row_id
+)
+SELECT doc_id, len(words) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+       CAST(coalesce(score, 0) AS DOUBLE) AS score
+FROM text LEFT JOIN found USING (row_id)
+"""

@@ -12,6 +12,7 @@ from .common import table, tokenizer_path
 from .cross_polytope import nearest
 from .fingerprint import fingerprint
 from .jaccard_join import jaccard_components
+from .licenses import scan_licenses
 from .mixing import mix
 from .oracle import ORACLE_SQL  # noqa: F401
 from .pii import find
@@ -81,6 +82,13 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "spans")
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        F.col("doc.doc_id").alias("doc_id"), "n_words", "n_base", "first_word", "last_word",
+        F.array_join("base_labels", ",").alias("base_labels"), F.array_join("labels", ",").alias("labels"), "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_importance_resampling": op1_importance_resampling,
     "op2_cross_polytope": op2_cross_polytope,
@@ -92,5 +100,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": op8_pii,
     "op9_chat_format": op9_chat_format,
     "op10_source_mix": op10_source_mix,
+    "op11_license_scan": op11_license_scan,
 }
 
