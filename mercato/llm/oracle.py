@@ -75,3 +75,60 @@ SELECT doc_id, len(words) AS n_words, coalesce(n_base, 0) AS n_base, first_word,
        CAST(coalesce(score, 0) AS DOUBLE) AS score
 FROM text LEFT JOIN found USING (row_id)
 """
+
+ORACLE_SQL["op12_hard_negatives"] = """
+WITH vectors AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+         CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+  FROM vectors a JOIN vectors b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+), positive AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+)
+SELECT anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) AS INTEGER) AS rank,
+       id AS negative_id, positive_score, score AS negative_score
+FROM positive JOIN scored USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
+
+# Every n-gram counted by itself.
+ORACLE_SQL["op13_collocations"] = rf"""
+WITH piece AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+               translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[.,;:!?\x0A-\x0D]')) AS piece
+        FROM documents)
+), gram AS (
+  SELECT lang, k, array_to_string(words[i + 1:i + k], ' ') AS phrase
+  FROM (SELECT lang, words, k, unnest(range(len(words) - k + 1)) AS i FROM piece, range(1, 6) AS s(k)
+        WHERE len(words) >= k)
+), total AS (
+  SELECT lang, count(*) AS n FROM gram WHERE k = 1 GROUP BY lang
+), counted AS (
+  SELECT lang, k, phrase, count(*) AS n FROM gram GROUP BY ALL HAVING count(*) >= 100
+), cut AS (
+  SELECT lang, k, phrase, n AS a, c, array_to_string(string_split(phrase, ' ')[1:c], ' ') AS part1,
+         array_to_string(string_split(phrase, ' ')[c + 1:], ' ') AS part2
+  FROM counted, range(1, 5) AS s(c) WHERE c < k
+), scored AS (
+  SELECT cut.lang, cut.k, cut.phrase, a, x.n AS l, y.n AS r, total.n AS n,
+         (CAST(1000 AS HUGEINT) * a * total.n) // (CAST(x.n AS HUGEINT) * y.n) AS score
+  FROM cut JOIN counted x ON x.lang = cut.lang AND x.phrase = part1
+           JOIN counted y ON y.lang = cut.lang AND y.phrase = part2 JOIN total ON total.lang = cut.lang
+  QUALIFY row_number() OVER (PARTITION BY cut.lang, cut.phrase ORDER BY score, c) = 1
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n,
+       CAST(score AS BIGINT) AS score
+FROM scored s
+WHERE NOT EXISTS (SELECT 1 FROM counted t WHERE t.lang = s.lang AND t.k > s.k AND t.n >= s.a
+                    AND contains(' ' || t.phrase || ' ', ' ' || s.phrase || ' '))
+QUALIFY rank <= 2000
+"""

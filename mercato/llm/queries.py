@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .chat import format_chats, learned_text, read_turns
+from .collocations import mine_collocations
 from .common import table, tokenizer_path
 from .cross_polytope import nearest
 from .fingerprint import fingerprint
+from .hard_negatives import mine
 from .jaccard_join import jaccard_components
 from .licenses import scan_licenses
 from .mixing import mix
@@ -89,6 +91,16 @@ def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join("base_labels", ",").alias("base_labels"), F.array_join("labels", ",").alias("labels"), "score")
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vec_id, label = F.col("vec_id"), F.col("label").cast("long")
+    return mine(table(spark, sf_dir, "embeddings"), vec_id % 50 == 0,
+                F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mine_collocations(table(spark, sf_dir, "documents").select("lang", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_importance_resampling": op1_importance_resampling,
     "op2_cross_polytope": op2_cross_polytope,
@@ -101,5 +113,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_chat_format": op9_chat_format,
     "op10_source_mix": op10_source_mix,
     "op11_license_scan": op11_license_scan,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_collocations": op13_collocations,
 }
 
