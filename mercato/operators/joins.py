@@ -13,7 +13,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from mercato.sources.sinks import to_scratch
+
 SALT = "__salt"
+_SALTS = "__salts"
 
 
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
@@ -64,13 +67,46 @@ def hot_key_salts(df: DataFrame, columns: list[str], rows_per_salt: int | None =
     return out
 
 
+def hot_key_table(df: DataFrame, columns: list[str], rows_per_salt: int | None = None,
+                  sample_fraction: float | None = None, seed: int = 7) -> DataFrame:
+    """``col, val, salts``: every hot value of the given columns, as a written table.
+
+    One job over a seeded sample of the key columns; a (column, value) whose estimated rows exceed
+    ``rows_per_salt`` is hot, however many there are (at most rows / ``rows_per_salt`` per column, up to the
+    sample's error).  Nothing comes to the driver and the plan holds no literal per key; the table is written once,
+    so retried tasks and both sides of the join see the same salts.
+    """
+    rows_per_salt = rows_per_salt or ROWS_PER_SALT
+    sample_fraction = sample_fraction or HOT_SAMPLE_FRACTION
+    pairs = df.select(*columns).sample(fraction=sample_fraction, seed=seed).select(
+        F.explode(F.array(*[F.struct(F.lit(c).alias("col"), F.col(c).cast("string").alias("val"))
+                            for c in columns])).alias("p")).select("p.*").where(F.col("val").isNotNull())
+    counted = pairs.groupBy("col", "val").agg(F.count(F.lit(1)).alias("n"))
+    wanted = F.ceil(F.col("n") / F.lit(sample_fraction * rows_per_salt))
+    return to_scratch(counted.where(F.col("n") > rows_per_salt * sample_fraction)
+                      .select("col", "val", F.least(F.lit(MAX_SALTS), wanted).cast("int").alias("salts")), "hot-keys")
+
+
+def _salted_by_table(big: DataFrame, lookup: DataFrame, key: str, how: str, hot: DataFrame) -> DataFrame:
+    """Both sides take their salts from the table; Spark broadcasts it only if it is measured to be small."""
+    salts = hot.where(F.col("col") == key).select(F.col("val").cast(big.schema[key].dataType).alias(key),
+                                                  F.col("salts").alias(_SALTS))
+    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in big.columns])
+    salted_big = (big.join(salts, key, "left")
+                  .withColumn(SALT, F.coalesce(F.pmod(row_hash, F.col(_SALTS)), F.lit(0))).drop(_SALTS))
+    salted_lookup = (lookup.join(salts, key, "left").withColumn(SALT, F.explode(F.coalesce(
+        F.sequence(F.lit(0), F.col(_SALTS) - 1), F.array(F.lit(0)))))
+        .withColumn(SALT, F.col(SALT).cast("bigint")).drop(_SALTS))
+    return salted_big.join(salted_lookup, [key, SALT], how).drop(SALT)
+
+
 def salted_join(big: DataFrame, lookup: DataFrame, key: str, how: str = "left",
-                salts: dict | None = None) -> DataFrame:
+                salts: dict | DataFrame | None = None) -> DataFrame:
     """``big.join(lookup, key, how)`` with each hot key of ``big`` spread over its own
     number of tasks.
 
-    ``salts`` maps hot key values to salt counts (see ``hot_key_salts``; found
-    here when not given).  Rows of ``big`` with a hot key get a salt from a
+    ``salts`` is the table of hot values of ``hot_key_table`` (made here when not given) or
+    a small map of hot key values to salt counts (see ``hot_key_salts``).  Rows of ``big`` with a hot key get a salt from a
     hash of the whole row (deterministic, so a task retried after an executor
     loss reproduces it); the ``lookup`` rows of a hot key are replicated once
     per salt, all other rows keep salt 0.  Every pair of matching rows still
@@ -79,7 +115,11 @@ def salted_join(big: DataFrame, lookup: DataFrame, key: str, how: str = "left",
     """
     if how not in ("left", "inner"):
         raise ValueError("salted_join supports inner and left joins")
-    salts = hot_key_salts(big, [key])[key] if salts is None else salts
+    salts = hot_key_table(big, [key]) if salts is None else salts
+    if isinstance(salts, DataFrame):
+        if not salts.where(F.col("col") == key).limit(1).count():
+            return big.join(lookup, key, how)
+        return _salted_by_table(big, lookup, key, how, salts)
     if not salts:
         return big.join(lookup, key, how)
     key_type = big.schema[key].dataType

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from mercato.contracts import FREIGHT_TYPE, PRICE_TYPE
 from mercato.operators import conform
-from mercato.operators.joins import hot_key_salts, salted_join
+from mercato.operators.joins import hot_key_table, salted_join
 
 UNCATEGORIZED = "uncategorized"
 
@@ -106,11 +106,11 @@ def fact_order_items(items: DataFrame, dim_products_df: DataFrame,
     cover; a product or seller holding a large share of the items is salted
     (one frequent-items pass finds both kinds of hot keys).
     """
-    hot = hot_key_salts(items, ["product_id", "seller_id"])
+    hot = hot_key_table(items, ["product_id", "seller_id"])
     fact = salted_join(items, dim_products_df.select("product_id", "product_category_name_english"),
-                       "product_id", "left", salts=hot["product_id"])
+                       "product_id", "left", salts=hot)
     fact = salted_join(fact, dim_sellers_df.select("seller_id", "seller_state"), "seller_id",
-                       "left", salts=hot["seller_id"])
+                       "left", salts=hot)
     # Money is exact decimal whatever the silver layout (CSV-typed silver carries doubles).
     price = F.col("price").cast(PRICE_TYPE)
     freight = F.col("freight_value").cast(FREIGHT_TYPE)

@@ -31,6 +31,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(root, "mercato-scratch", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+def to_scratch(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` under the shared checkpoint directory and read it back (cuts the lineage)."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """Overwrite CSV with a header; quotes are escaped by doubling."""
     (df.write.mode("overwrite").option("header", "true").option("escape", '"')

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from mercato.operators import conform, marts
-from mercato.operators.joins import hot_key_salts, salted_join
+from mercato.operators.joins import hot_key_salts, hot_key_table, salted_join
 
 N = 30_000
 
@@ -143,3 +143,34 @@ def test_cohort_with_hot_customer(spark):
                      .cast("int").alias("months_since_first"))
             .agg(F.count_distinct("customer_id").alias("customers")))
     assert _same(got.where(F.col("cohort_month").isNotNull()), want)
+
+
+def test_two_hundred_hot_keys_are_all_spread(skew_conf):
+    spark = skew_conf
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        big = spark.range(120_000).select(
+            F.when(F.col("id") % 10 < 8, F.concat(F.lit("hot"), (F.col("id") % 200).cast("string")))
+            .when(F.col("id") % 10 == 8, F.lit(None)).otherwise(F.col("id").cast("string")).alias("k"), F.col("id").alias("v"))
+        lookup = spark.range(200).select(F.concat(F.lit("hot"), F.col("id").cast("string")).alias("k"),
+                                         F.col("id").alias("w"))
+        hot = hot_key_table(big, ["k"], rows_per_salt=50, sample_fraction=0.5)
+        keys = {r["val"]: r["salts"] for r in hot.collect()}
+        assert len(keys) == big.where("k like 'hot%'").select("k").distinct().count() >= 160
+        joined = salted_join(big, lookup, "k", "left", salts=hot)
+        assert "hot17" not in joined._jdf.queryExecution().optimizedPlan().toString()  # no literal per key
+        assert _same(joined, big.join(lookup, "k", "left"))
+        per_task = (joined.where("k like 'hot%'").groupBy("k", F.spark_partition_id().alias("p")).count()
+                    .groupBy("k").agg(F.count("*").alias("tasks"), F.max("count").alias("most"), F.sum("count").alias("n")))
+        for r in per_task.collect():
+            assert r["tasks"] > 1 and r["most"] < r["n"], r
+        assert salted_join(big, lookup, "k", "inner", salts=hot).count() == big.join(lookup, "k").count()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_no_hot_key_gives_the_plain_join(spark):
+    big = spark.range(100).withColumnRenamed("id", "k")
+    joined = salted_join(big, big.withColumn("w", F.lit(1)), "k")
+    assert "__salt" not in joined._jdf.queryExecution().optimizedPlan().toString()
+    assert joined.count() == 100
