@@ -247,11 +247,20 @@ def customer_series(metrics_customers: DataFrame) -> DataFrame:
 def _pivot_months(df: DataFrame, value_col: str, months: Sequence[int] | None) -> DataFrame:
     """One row per cohort, one column per ``months_since_first`` value.
 
-    With ``months`` the columns are fixed and the plan is one aggregate;
-    without, Spark first finds the distinct values (bounded by the calendar span).
+    Without ``months`` Spark first finds the distinct values (bounded by the calendar span).  With
+    ``months`` the columns are fixed and the plan is one aggregate; no cell is lost: those of all
+    other months stand in ``later_months`` as ``month=value``, by month, joined by ``;`` (null without any).
     """
-    pivoted = df.groupBy("cohort_month").pivot("months_since_first", None if months is None else list(months))
-    return pivoted.agg(F.first(value_col)).orderBy("cohort_month")
+    if months is None:
+        pivoted = df.groupBy("cohort_month").pivot("months_since_first")
+        return pivoted.agg(F.first(value_col)).orderBy("cohort_month")
+    month = F.col("months_since_first")
+    cells = [F.max(F.when(month == m, F.col(value_col))).alias(str(m)) for m in months]
+    text = F.concat(month.cast("string"), F.lit("="), F.col(value_col).cast("decimal(18,6)").cast("string"))
+    later = F.sort_array(F.collect_list(F.when(~month.isin(list(months)), F.struct(month.alias("m"), text.alias("text")))))
+    # bounded by the calendar span of one cohort
+    joined = F.when(F.size(later) > 0, F.array_join(F.transform(later, lambda c: c["text"]), ";"))
+    return df.groupBy("cohort_month").agg(*cells, joined.alias("later_months")).orderBy("cohort_month")
 
 
 def cohort_matrix(metrics_cohort: DataFrame, months: Sequence[int] | None = None) -> DataFrame:

@@ -448,6 +448,7 @@ _q("payments_per_order", f"SELECT * {_dbl('total_payment')} FROM pay_agg", "pay_
 _q("items_per_order", f"""SELECT * {_dbl('total_items', 'total_freight', 'total_items_freight')}
 FROM item_agg""", "item_agg")
 _q("metrics_revenue", f"SELECT * {_MR} FROM metrics_revenue", "metrics_revenue")
+_q("metrics_revenue_exact", f"SELECT * {_MR} FROM metrics_revenue", "metrics_revenue")
 _q("metrics_revenue_by_state", f"SELECT * {_dbl('total_revenue')} FROM metrics_revenue_by_state",
    "metrics_revenue_by_state")
 _q("metrics_revenue_by_category", f"""SELECT *
@@ -590,10 +591,12 @@ _q("customer_series", _label("SELECT year, month, new_customers, avg_ltv")
 
 
 def _pivot(value: str, source: str) -> str:
-    """One column for each of the fixed months since the first order."""
-    months = ", ".join(map(str, range(84)))
-    return (f"SELECT * FROM (PIVOT {source} ON months_since_first IN ({months}) USING MAX({value}) "
-            f"GROUP BY cohort_month)")
+    """One column for each of the fixed months since the first order, and all later cells in one column."""
+    months = ", ".join(f"MAX(CASE WHEN months_since_first = {m} THEN {value} END) AS \"{m}\"" for m in range(84))
+    cell = f"CAST(CAST({value} AS DECIMAL(18,6)) AS VARCHAR)"
+    return (f"SELECT cohort_month, {months}, string_agg(months_since_first || '=' || {cell}, ';' "
+            f"ORDER BY months_since_first) FILTER (WHERE months_since_first NOT BETWEEN 0 AND 83) AS later_months "
+            f"FROM {source} GROUP BY cohort_month")
 
 
 _q("cohort_matrix", _pivot("customers", "metrics_cohort"), "metrics_cohort")

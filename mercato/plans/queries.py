@@ -51,7 +51,8 @@ class Ctx:
         return Marts.of(self.gold)
 
 
-# Columns of the cohort matrices: the months since a customer's first order that seven years hold.
+# Columns of the cohort matrices: the months since a customer's first order that seven years hold;
+# what lies beyond stands in the column ``later_months``.
 COHORT_MONTHS = range(84)
 
 QUERIES: dict[str, QueryFn] = {}
@@ -410,6 +411,12 @@ def _customer_ltv(c: Ctx) -> DataFrame:
     return marts.customer_ltv(c.gold.fact_orders)
 
 
+@query("metrics_revenue_exact")
+def _metrics_revenue_exact(c: Ctx) -> DataFrame:
+    """A3 with exact median and p90 (range counting instead of the sketch)."""
+    return marts.metrics_revenue_exact(c.gold.fact_orders)
+
+
 @query("repurchase_rate")
 def _repurchase_rate(c: Ctx) -> DataFrame:
     return marts.repurchase_rate(c.gold.fact_orders)
