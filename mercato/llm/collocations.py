@@ -8,15 +8,16 @@ Counts of all phrases of 2 to 5 words come from one count of the longest windows
    end of the piece, or from the first rarer word, on.  Equal windows are summed in the task, then after one shuffle
    by their first two words.
 3. **Marginals.**  A phrase of k words is counted by the windows that begin with it, so ``ROLLUP`` over the
-   window's columns sums all shorter prefixes; no other n-gram is ever made.  Before it, windows whose first two
-   words together stand fewer than ``least`` times are left out, as nothing longer can reach it.
+   window's columns sums all shorter prefixes; no other n-gram is ever made.  Before it, inside the
+   partitions, every window is cut to its longest prefix that stands ``least`` times (nothing longer can), and
+   equal ones are summed, so ``ROLLUP`` meets little more than the phrases it returns.
 4. **Scores.**  Every cut of a phrase looks up its two parts among the counts; the least score counts.
    A phrase goes if it is part of a phrase one word longer that stands as often (counts fall
    with length, so a phrase inside any longer such phrase is inside one of these).
 
-Hot pairs: two words of which each makes up a hundredth of all words or more (there are at most a hundred)
-spread their windows by their further words and skip the leaving-out, so no task gets more than about a hundredth of all
-windows for one key.  The id table goes to the tasks if it has at most ``most_broadcast`` rows;
+Hot pairs: two words of which each makes up a hundredth of all words or more (there are at most a hundred such words)
+spread their windows by the first further word that is not hot, so no task gets more than about a hundredth of all
+windows for one key.  Only prefixes made of hot words alone lie in several partitions; those are never cut, and ``ROLLUP`` sums them.  The id table goes to the tasks if it has at most ``most_broadcast`` rows;
 otherwise words meet their ids in a shuffle join, and the windows are lead columns over each piece.
 
 Defined results: a null text is empty, a null language ``und``; repeated rows (ids are not read) count each;
@@ -35,7 +36,6 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mercato.operators.joins import row_count_at_most
 from mercato.operators.ranking import global_rank_running_sum
 
 from .common import Rolling, bound_batches, materialize, mix64, pieces, spans_to_index, spread, text_bytes
@@ -151,34 +151,35 @@ def _lead_windows(ids: np.ndarray, joined: np.ndarray) -> list[np.ndarray]:
     return columns
 
 
-def _packed(columns: list) -> list:
-    """Five ids in three numbers (of numpy arrays): the first two words, then the low and high bits of the others."""
-    low = (1 << _LOW) - 1
+def _packed(columns: list, bits: int = 31) -> list:
+    """Five ids of so many bits in three numbers (of numpy arrays): the first two words, then the low and the high bits
+    of the others.  No more bits are used than ids need, as they are shuffled."""
+    small = min(bits, _LOW)
     a, b, *others = columns
     rest = more = 0
     for w in others:
-        rest, more = rest << _LOW | w & low, more << _HIGH | w >> _LOW
-    return [a << 31 | b, rest, more]
+        rest, more = rest << small | w & (1 << small) - 1, more << _HIGH | w >> small
+    return [a << bits | b, rest, more]
 
 
-def _packed_columns(ids: list[Column]) -> list[Column]:
+def _packed_columns(ids: list[Column], bits: int = 31) -> list[Column]:
     """The same of Spark columns."""
-    low = (1 << _LOW) - 1
+    small = min(bits, _LOW)
     rest = more = F.lit(0).cast("long")
     for w in ids[2:]:
-        rest = F.shiftleft(rest, _LOW).bitwiseOR(w.bitwiseAND(F.lit(low)))
-        more = F.shiftleft(more, _HIGH).bitwiseOR(F.shiftright(w, _LOW))
-    return [F.shiftleft(ids[0], 31).bitwiseOR(ids[1]), rest, more]
+        rest = F.shiftleft(rest, small).bitwiseOR(w.bitwiseAND(F.lit((1 << small) - 1)))
+        more = F.shiftleft(more, _HIGH).bitwiseOR(F.shiftright(w, small))
+    return [F.shiftleft(ids[0], bits).bitwiseOR(ids[1]), rest, more]
 
 
-def _unpacked(k: int) -> Column:
+def _unpacked(k: int, bits: int = 31) -> Column:
     """Word k (from 1) of a packed window."""
     if k <= 2:
-        return F.shiftright("pair", 31) if k == 1 else F.col("pair").bitwiseAND(F.lit((1 << 31) - 1))
-    down = LONGEST - k
-    low = F.shiftright("rest", _LOW * down).bitwiseAND(F.lit((1 << _LOW) - 1))
+        return F.shiftright("pair", bits) if k == 1 else F.col("pair").bitwiseAND(F.lit((1 << bits) - 1))
+    small, down = min(bits, _LOW), LONGEST - k
+    low = F.shiftright("rest", small * down).bitwiseAND(F.lit((1 << small) - 1))
     high = F.shiftright("more", _HIGH * down).bitwiseAND(F.lit((1 << _HIGH) - 1))
-    return F.shiftleft(high, _LOW).bitwiseOR(low)
+    return F.shiftleft(high, small).bitwiseOR(low)
 
 
 def _summed(held: list[list[np.ndarray]]) -> pa.RecordBatch:
@@ -195,14 +196,14 @@ def _summed(held: list[list[np.ndarray]]) -> pa.RecordBatch:
 _WINDOW = "pair long, rest long, more long, n long"
 
 
-def _windows_by_broadcast(texts: DataFrame, ids: DataFrame) -> DataFrame:
+def _windows_by_broadcast(texts: DataFrame, ids: DataFrame, bits: int) -> DataFrame:
     known = texts.sparkSession.sparkContext.broadcast(Ids(ids.select("id", "lang", "word").toArrow()))
 
     def windows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
         for batch in pieces(batches, "text"):
             words = Words(batch.column(1))
-            held.append(_packed(_lead_windows(known.value.of(*words.keys(batch.column(0))), words.joined)))
+            held.append(_packed(_lead_windows(known.value.of(*words.keys(batch.column(0))), words.joined), bits))
             n += len(held[-1][0])
             if n >= _JOINED:
                 yield _summed(held)
@@ -213,7 +214,7 @@ def _windows_by_broadcast(texts: DataFrame, ids: DataFrame) -> DataFrame:
     return texts.mapInArrow(windows, _WINDOW)
 
 
-def _windows_by_join(texts: DataFrame, ids: DataFrame) -> DataFrame:
+def _windows_by_join(texts: DataFrame, ids: DataFrame, bits: int) -> DataFrame:
     placed = materialize(texts.mapInArrow(_placed_words, "piece long, place long, lang string, word string"), "words")
     over = Window.partitionBy("piece").orderBy("place")
     lead = placed.join(ids.select("lang", "word", "id"), ["lang", "word"], "left").withColumn(
@@ -222,26 +223,54 @@ def _windows_by_join(texts: DataFrame, ids: DataFrame) -> DataFrame:
                                for k in range(1, LONGEST)]).filter("w1 > 0 AND w2 > 0")
     for k in range(3, LONGEST + 1):
         lead = lead.withColumn(f"w{k}", F.when(F.col(f"w{k - 1}") > 0, F.col(f"w{k}")).otherwise(0))
-    packed = _packed_columns([F.col(f"w{k}").cast("long") for k in range(1, LONGEST + 1)])
+    packed = _packed_columns([F.col(f"w{k}").cast("long") for k in range(1, LONGEST + 1)], bits)
     return lead.select(*[c.alias(name) for c, name in zip(packed, ("pair", "rest", "more"), strict=True)],
                        F.lit(1).cast("long").alias("n"))
 
 
-def count_phrases(windows: DataFrame, n_words: int, n_hot: int, least: int) -> DataFrame:
+def count_phrases(windows: DataFrame, n_words: int, n_hot: int, least: int, bits: int = 31) -> DataFrame:
     """``ids, n``: every phrase of two words or more (as an array of word ids) with ``least`` places."""
-    hot = F.greatest(_unpacked(1), _unpacked(2)) <= n_hot
-    longest = (windows.withColumn("salt", F.when(hot, F.pmod(F.hash("rest", "more"), F.lit(SALTS))).otherwise(0))
-               .repartition(spread(n_words, 1 << 20), "pair", "salt")
-               .groupBy("pair", "salt", "rest", "more").agg(F.sum("n").alias("n")))
-    over = Window.partitionBy("pair", "salt")
-    longest = longest.withColumn("pair_n", F.sum("n").over(over)).filter((F.col("pair_n") >= least) | hot)
+    words = [_unpacked(k, bits) for k in range(1, LONGEST + 1)]
+    hot = [(w >= 1) & (w <= n_hot) for w in words]
+    # the further words up to the first that is not hot decide a hot pair's salt
+    salt = F.hash("rest", "more")
+    for w, h in reversed(list(zip(words[2:], hot[2:], strict=True))):
+        salt = F.when(~h, F.hash(w)).otherwise(salt)
+    dealt = windows.select(F.when(hot[0] & hot[1], F.pmod(salt, F.lit(SALTS))).otherwise(0).alias("salt"),
+                           F.shiftleft("more", 32).bitwiseOR(F.col("n")).alias("more_n"), "rest", "pair")
+    longest = (dealt.repartition(spread(n_words, 1 << 20), "pair", "salt")
+               .withColumn("more", F.shiftright("more_n", 32))
+               .groupBy("pair", "salt", "rest", "more")
+               .agg(F.sum(F.col("more_n").bitwiseAND(F.lit((1 << 32) - 1))).alias("n")))
     others = [f"w{k}" for k in range(3, LONGEST + 1)]
-    rolled = (longest.select("pair", "n", *[_unpacked(k).cast("int").alias(f"w{k}") for k in range(3, LONGEST + 1)])
-              .rollup("pair", *others).agg(F.sum("n").alias("n"), F.grouping_id().alias("level"))
+    longest = (longest.select("pair", "salt", *[_unpacked(k, bits).cast("int").alias(f"w{k}")
+                                                for k in range(3, LONGEST + 1)], "n")
+               .sortWithinPartitions("pair", "salt", *others[:-1]))
+    # marginals inside a partition: all windows with a prefix are in one, but for prefixes of hot words only
+    kept = longest
+    first, second = _unpacked(1, bits), _unpacked(2, bits)
+    all_hot = F.greatest(first, second) <= n_hot
+    prefix = ["pair", "salt"]
+    reach = F.lit(True)
+    for w in [None, *others]:
+        if w is not None:
+            prefix = [*prefix, w]
+            all_hot = all_hot & (F.col(w) >= 1) & (F.col(w) <= n_hot)
+            whole = F.col("n") if w == others[-1] else F.sum("n").over(Window.partitionBy(*prefix))
+            reach = reach & (F.col(w) > 0) & F.col(f"{w}_often")
+            kept = kept.withColumn(f"{w}_often", (whole >= least) | all_hot)
+            kept = kept.withColumn(f"{w}_cut", F.when(reach, F.col(w)).otherwise(0))
+        else:
+            kept = (kept.withColumn("pair_n", F.sum("n").over(Window.partitionBy(*prefix)))
+                    .filter((F.col("pair_n") >= least) | all_hot))
+    # windows cut to their longest frequent prefix: few are left, and no prefix loses a count
+    cut = [F.col(f"{w}_cut").alias(w) for w in others]
+    frequent = kept.select("pair", "salt", *cut, "n").groupBy("pair", "salt", *others).agg(F.sum("n").alias("n"))
+    rolled = (frequent.rollup("pair", *others).agg(F.sum("n").alias("n"))
               .filter((F.col("n") >= least) & F.col("pair").isNotNull()))
     # a rolled-up column is null, padding is 0
-    words = F.array(_unpacked(1).cast("int"), _unpacked(2).cast("int"), *others)
-    return (rolled.withColumn("ids", F.filter(words, lambda w: w.isNotNull()))
+    ids = F.array(first.cast("int"), second.cast("int"), *others)
+    return (rolled.withColumn("ids", F.filter(ids, lambda w: w.isNotNull()))
             .filter(~F.array_contains("ids", 0)).select("ids", "n"))
 
 
@@ -259,9 +288,10 @@ def mine_collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, perce
     ranked = global_rank_running_sum(counted.filter(F.col("n") >= least), [F.col("n").desc(), F.col("lang"), F.col("word")],
                                      "n", rank_col="id")
     ids = materialize(ranked.select(F.col("id").cast("int").alias("id"), "lang", "word", "n"), "word-ids")
-    n_hot = ids.filter(F.col("n") * HOT_SHARE >= n_words).count()
-    make = _windows_by_broadcast if row_count_at_most(ids, most_broadcast) else _windows_by_join
-    phrases = materialize(count_phrases(make(texts, ids), n_words, n_hot, least), "phrases")
+    n_hot, n_ids = ids.agg(F.count_if(F.col("n") * HOT_SHARE >= n_words), F.count(F.lit(1))).first()
+    bits = max(1, int(n_ids).bit_length())
+    make = _windows_by_broadcast if n_ids <= most_broadcast else _windows_by_join
+    phrases = materialize(count_phrases(make(texts, ids, bits), n_words, n_hot, least, bits), "phrases")
 
     counts = phrases.unionByName(ids.select(F.array("id").alias("ids"), "n"))
     size = F.size("ids")
