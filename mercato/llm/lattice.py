@@ -13,6 +13,8 @@ the byte pieces of its UTF-8 form; so is a space mark that stands in the text it
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pandas as pd
 
@@ -76,6 +78,12 @@ class Pieces:
         return [data[a + 1:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
 
 
+@functools.cache
+def load_pieces(path: str) -> Pieces:
+    """The pieces of a model, read once in the life of a Python worker."""
+    return Pieces(path)
+
+
 def written(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """All texts as the model sees them, one after another, and where each begins (an empty text stays empty)."""
     lengths = np.array([len(t) + 1 if t else 0 for t in texts], np.int64)
@@ -143,7 +151,7 @@ class Lattices:
         which = -1 - piece[lone]
         self.id_counts = np.ones(len(piece), np.int32)
         self.id_counts[lone] = spelled[which]
-        self.id_starts = piece.astype(np.int64)
+        self.id_starts = piece.copy()
         self.id_starts[lone] = len(pieces.ids) + (np.cumsum(spelled) - spelled)[which]
         self.weight = pieces.weights[piece]
         self.weight[lone] = pieces.byte_weight * spelled[which]
@@ -185,6 +193,68 @@ class Lattices:
         return self.ids[spans_to_index(self.id_starts[edges], self.id_counts[edges])]
 
 
+class KnownUnits(Lattices):
+    """The lattices of all units met so far, so that a unit is analysed once and not once per batch.
+
+    ``meet`` adds the units of further texts and sets ``unit_of`` for them.  Once there are
+    ``most_nodes`` nodes it starts anew with the units of the texts at hand, so what it
+    holds is bounded by that and by one batch.
+    """
+
+    def __init__(self, pieces: Pieces, most_nodes: int):
+        self.pieces, self.most_nodes = pieces, most_nodes
+        self._clear()
+
+    def _clear(self) -> None:
+        self.hashes = np.zeros(0, np.uint64)
+        self.places = np.zeros(0, np.int64)
+        self.n_nodes = 0
+
+    def meet(self, cps: np.ndarray, starts: np.ndarray) -> None:
+        if self.n_nodes >= self.most_nodes:
+            self._clear()
+        stops = np.append(starts[1:], len(cps))
+        codes, hashes = pd.factorize(Rolling(cps).of(starts, stops))
+        at = np.minimum(np.searchsorted(self.hashes, hashes), max(len(self.hashes) - 1, 0))
+        known = self.hashes[at] == hashes if len(self.hashes) else np.zeros(len(hashes), bool)
+        place = np.zeros(len(hashes), np.int64)
+        place[known] = self.places[at[known]]
+        fresh = np.flatnonzero(~known)
+        if len(fresh):
+            sample = np.zeros(len(hashes), np.int64)
+            sample[codes] = np.arange(len(starts))
+            sizes = (stops - starts)[sample[fresh]]
+            own = cps[spans_to_index(starts[sample[fresh]], sizes)]
+            new = Lattices(self.pieces, own, np.cumsum(sizes) - sizes)
+            place[fresh[new.unit_of]] = self._append(new)[new.unit_of]
+            self.hashes, self.places = np.append(self.hashes, hashes[fresh]), np.append(self.places, place[fresh])
+            order = np.argsort(self.hashes)
+            self.hashes, self.places = self.hashes[order], self.places[order]
+        self.unit_of = place[codes]
+
+    def _append(self, new: Lattices) -> np.ndarray:
+        """Put further lattices behind those at hand; the places of their units."""
+        n_units = len(new.first_node)
+        if not self.n_nodes:
+            for name in ("first_node", "last_node", "begin", "end", "first_edge", "id_counts", "id_starts", "log_p",
+                         "so_far", "ids"):
+                setattr(self, name, getattr(new, name))
+            before = 0
+        else:
+            before, edges = len(self.first_node), len(self.begin)
+            spelled = len(self.ids) - len(self.pieces.ids)
+            moved = np.where(new.id_starts < len(self.pieces.ids), new.id_starts, new.id_starts + spelled)
+            joined = {"first_node": new.first_node + self.n_nodes, "last_node": new.last_node + self.n_nodes,
+                      "begin": new.begin + np.int32(self.n_nodes), "end": new.end + np.int32(self.n_nodes),
+                      "id_counts": new.id_counts, "id_starts": moved, "log_p": new.log_p, "so_far": new.so_far,
+                      "ids": new.ids[len(self.pieces.ids):]}
+            for name, values in joined.items():
+                setattr(self, name, np.concatenate([getattr(self, name), values]))
+            self.first_edge = np.concatenate([self.first_edge[:-1], new.first_edge + edges])
+        self.n_nodes = int(self.last_node[-1]) + 1
+        return np.arange(before, before + n_units)
+
+
 def streams(keys: np.ndarray, purpose: int, sample: int) -> np.ndarray:
     """One stream of random numbers for each key, purpose and sample."""
     return mix64(mix64(keys.view(np.uint64)) + np.uint64(purpose * 1_000_003 + sample))

@@ -37,10 +37,12 @@ from pyspark.sql import functions as F
 from .common import bound_batches
 from .common import pieces as byte_pieces
 from .common import spans_to_index
-from .lattice import Lattices, Pieces, streams, uniforms, unit_starts, written
+from .lattice import KnownUnits, Pieces, load_pieces, streams, uniforms, unit_starts, written
 
 SAMPLES = 2
 SEED = 3
+BATCH_BYTES = 1 << 19  # of text searched at a time
+MOST_NODES = 1 << 20  # of unit lattices that a task keeps
 _WALK, _ROOT, _REST, _TURN, _LEFT = range(5)
 
 
@@ -53,11 +55,14 @@ def _truncated(location, bound, u):
 class Search:
     """The searches of all texts of a batch, one segmentation of every text at a time."""
 
-    def __init__(self, pieces: Pieces, texts: list[str], keys: np.ndarray, seed: int):
+    def __init__(self, pieces: Pieces | KnownUnits, texts: list[str], keys: np.ndarray, seed: int):
+        known = pieces if isinstance(pieces, KnownUnits) else KnownUnits(pieces, 0)
         self.keys = keys.astype(np.int64) ^ np.int64(seed)
         cps, starts = written(texts)
         units = unit_starts(cps, starts) if len(cps) else np.zeros(0, np.int64)
-        self.lattice = Lattices(pieces, cps, units) if len(units) else None
+        if len(units):
+            known.meet(cps, units)
+        self.lattice = known if len(units) else None
         self.units, self.text_starts = units, starts
         self.first_unit = np.searchsorted(units, starts)  # of each text, among all occurrences
         n = len(texts)
@@ -212,10 +217,11 @@ def sample_segmentations(docs: DataFrame, model: str, samples: int = SAMPLES, id
                        F.xxhash64(F.lit(seed), F.col(f"`{id_col}`"), text).alias("key"), text.alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Pieces(model)
-        for batch in byte_pieces(batches, "text", 1 << 20):
+        pieces = load_pieces(model)
+        known = KnownUnits(pieces, MOST_NODES)
+        for batch in byte_pieces(batches, "text", BATCH_BYTES):
             texts = [t or "" for t in batch.column(2).to_pylist()]
-            search = Search(pieces, texts, batch.column(1).to_numpy(), seed)
+            search = Search(known, texts, batch.column(1).to_numpy(), seed)
             found = search.run(samples)
             each = [len(f) for f in found]
             flat = [s for f in found for s in f]
@@ -242,7 +248,7 @@ def sample_segmentations(docs: DataFrame, model: str, samples: int = SAMPLES, id
 def decode_texts(encoded: DataFrame, model: str) -> DataFrame:
     """``doc_id, sample, text``: the texts of encoded rows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Pieces(model)
+        pieces = load_pieces(model)
         for batch in batches:
             lists = batch.column(2)
             ends = lists.offsets.to_numpy()
