@@ -6,6 +6,7 @@ guards are ``limit(1)`` probes that stop at the first qualifying row.
 
 from __future__ import annotations
 
+import datetime as dt
 import re
 from functools import reduce
 
@@ -36,8 +37,16 @@ def normalize_columns(df: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- Q2
-def add_ingestion_metadata(df: DataFrame) -> DataFrame:
-    now = F.current_timestamp()
+def add_ingestion_metadata(df: DataFrame, as_of: dt.datetime | None = None) -> DataFrame:
+    """Add ``ingestion_date`` and its year and month.
+
+    ``as_of`` is the run's one timestamp (``plans.pipeline.RunContext``), the same for every table and in a
+    rerun; an aware datetime is taken in UTC.  Without it the clock at the start of the query counts.
+    """
+    if as_of is not None and as_of.tzinfo is not None:
+        as_of = as_of.astimezone(dt.timezone.utc).replace(tzinfo=None)
+    # written as text, so that the driver's own time zone plays no part
+    now = F.current_timestamp() if as_of is None else F.lit(as_of.isoformat(sep=" ")).cast("timestamp")
     return df.withColumns({
         "ingestion_date": now,
         "ingestion_year": F.year(now),
@@ -144,6 +153,45 @@ def schema_contract(df: DataFrame, dataset: str) -> list[str]:
     return [c for c in df.columns if c not in expected and c not in INGESTION_COLUMNS]
 
 
+def contract_findings(df: DataFrame, dataset: str) -> DataFrame:
+    """Q7 as rows: every contract column and every extra one, with what one pass over the table finds.
+
+    ``column_name, expected_type, found_type, finding, total_rows, null_rows, failed_casts``.  A finding is
+    ``missing`` (its counts are null), ``extra`` (kept; ingestion columns are exempt), ``uncastable`` (some value is no
+    value of the expected type), ``null in required`` (a null in a strict or non-nullable column), ``other type`` (castable)
+    or ``ok``; the first that holds.  All counts come from a single aggregate with partial sums per task.
+    """
+    fields = {f.name: f for f in SCHEMAS[dataset].fields}
+    found = {f.name: f.dataType for f in df.schema.fields}
+    strict = set(STRICT.get(dataset, []))
+    names = [*fields, *(c for c in df.columns if c not in fields and c not in INGESTION_COLUMNS)]
+    counts = [F.count(F.lit(1)).alias("__total")]
+    for i, name in enumerate(names):
+        if name in found:
+            col = F.col(f"`{name}`")
+            counts.append(F.count_if(col.isNull()).alias(f"n{i}"))
+            bad = col.isNotNull() & col.try_cast(fields[name].dataType).isNull() if name in fields else F.lit(False)
+            counts.append(F.count_if(bad).alias(f"b{i}"))
+    rows = []
+    for i, name in enumerate(names):
+        expected = fields[name].dataType if name in fields else None
+        if name not in found:
+            finding, nulls, bad = F.lit("missing"), F.lit(None).cast("long"), F.lit(None).cast("long")
+        else:
+            nulls, bad = F.col(f"n{i}"), F.col(f"b{i}")
+            required = name in strict or (name in fields and not fields[name].nullable)
+            finding = (F.when(F.lit(expected is None), "extra").when(bad > 0, "uncastable")
+                       .when(F.lit(required) & (nulls > 0), "null in required")
+                       .when(F.lit(found[name] != expected), "other type").otherwise("ok"))
+        rows.append(F.struct(
+            F.lit(name).alias("column_name"),
+            F.lit(expected.simpleString() if expected is not None else None).cast("string").alias("expected_type"),
+            F.lit(found[name].simpleString() if name in found else None).cast("string").alias("found_type"),
+            finding.alias("finding"), F.col("__total").alias("total_rows"), nulls.alias("null_rows"),
+            bad.alias("failed_casts")))
+    return df.agg(*counts).select(F.inline(F.array(*rows)))
+
+
 # ---------------------------------------------------------------- Q8 / Q9
 def cast_to_contract(df: DataFrame, dataset: str) -> DataFrame:
     """One projection casting each contract column; unparsable text becomes null.

@@ -362,6 +362,33 @@ _q("non_empty_guard", """SELECT COUNT(*) > 0 AS has_rows,
     AND COALESCE(trim(customer_state), '') = '')) > 0 AS has_non_blank_row
 FROM s_customers""", "s_customers")
 _q("rename_typos", "SELECT * FROM s_products", "s_products")
+_q("ingestion_metadata", """SELECT *, TIMESTAMP '2024-01-15 08:30:00' AS ingestion_date,
+  CAST(2024 AS INTEGER) AS ingestion_year, CAST(1 AS INTEGER) AS ingestion_month FROM s_sellers""", "s_sellers")
+_cte("messy_payments", """SELECT order_id, payment_sequential,
+  CASE WHEN order_id % 11 <> 0 THEN payment_type END AS payment_type,
+  CASE WHEN order_id % 7 = 0 THEN 'n/a' ELSE CAST(payment_value AS VARCHAR) END AS payment_value, 'web' AS channel
+FROM s_payments""", "s_payments")
+
+
+def _finding(column: str, expected: str | None, found: str | None) -> str:
+    text = {None: "CAST(NULL AS VARCHAR)"}
+    nulls = f"COUNT(*) FILTER (WHERE {column} IS NULL)"
+    bad = ("0" if expected in (None, "string") else
+           f"COUNT(*) FILTER (WHERE {column} IS NOT NULL AND TRY_CAST({column} AS {expected}) IS NULL)")
+    other = "ok" if expected == found else "other type"
+    finding = (f"CASE WHEN {bad} > 0 THEN 'uncastable' WHEN {nulls} > 0 THEN 'null in required' ELSE '{other}' END"
+               if expected else "'extra'")
+    if found is None:
+        nulls, bad, finding = "NULL", "NULL", "'missing'"
+    return (f"SELECT '{column}' AS column_name, {text.get(expected, repr(expected))} AS expected_type, "
+            f"{text.get(found, repr(found))} AS found_type, {finding} AS finding, COUNT(*) AS total_rows, "
+            f"CAST({nulls} AS BIGINT) AS null_rows, CAST({bad} AS BIGINT) AS failed_casts FROM messy_payments")
+
+
+_q("schema_contract", "\nUNION ALL ".join(_finding(*c) for c in (
+    ("order_id", "string", "bigint"), ("payment_sequential", "int", "int"), ("payment_type", "string", "string"),
+    ("payment_installments", "int", None), ("payment_value", "double", "string"), ("channel", None, "string"))),
+   "messy_payments")
 _q("cast_to_contract", """SELECT CAST(order_id AS VARCHAR) AS order_id, payment_sequential,
   payment_type, payment_installments, CAST(payment_value AS DOUBLE) AS payment_value
 FROM s_payments""", "s_payments")
@@ -630,6 +657,23 @@ FROM (UNPIVOT (SELECT {_FLAGS} FROM fact_orders)
       ON financial_inconsistency, delayed, delivered_before_purchase,
          estimated_before_purchase, future_purchase
       INTO NAME flag VALUE occurrences)""", "fact_orders")
+# column, type and nullability of fact_orders
+_CATALOG = [
+    ("order_id", "bigint", "YES"), ("customer_id", "bigint", "YES"), ("customer_state", "string", "YES"),
+    ("customer_city", "string", "YES"), ("order_status", "string", "YES"),
+    ("order_purchase_timestamp", "timestamp_ntz", "YES"), ("purchase_date", "date", "YES"),
+    ("order_approved_at", "timestamp_ntz", "YES"), ("order_delivered_carrier_date", "timestamp_ntz", "YES"),
+    ("order_delivered_customer_date", "timestamp_ntz", "YES"),
+    ("order_estimated_delivery_date", "timestamp_ntz", "YES"), ("total_payment", "decimal(28,4)", "YES"),
+    ("total_items", "decimal(28,2)", "YES"), ("total_freight", "decimal(28,4)", "YES"),
+    ("total_items_freight", "decimal(31,4)", "YES"), ("delivery_days", "int", "YES"),
+    ("estimated_delivery_days", "int", "YES"), ("flag_delayed", "boolean", "NO"), ("delay_days", "int", "YES"),
+    ("flag_financial_inconsistency", "boolean", "NO"), ("flag_delivered_before_purchase", "boolean", "NO"),
+    ("flag_estimated_before_purchase", "boolean", "NO"), ("flag_future_purchase", "boolean", "NO")]
+_q("schema_catalog", "\nUNION ALL ".join(
+    f"""SELECT CAST({i + 1} AS INTEGER) AS ordinal_position, '{name}' AS column_name, '{kind}' AS data_type,
+  '{nullable}' AS is_nullable, COUNT(*) AS total_rows, COUNT({name}) AS filled_rows FROM fact_orders"""
+    for i, (name, kind, nullable) in enumerate(_CATALOG)), "fact_orders")
 _q("adhoc_select", """SELECT order_status, COUNT(*) AS orders,
   CAST(SUM(total_payment) AS DOUBLE) AS revenue FROM fact_orders GROUP BY order_status""",
    "fact_orders")

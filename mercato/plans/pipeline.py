@@ -9,6 +9,7 @@ column, so collecting it for the log is bounded).
 
 from __future__ import annotations
 
+import datetime as dt
 import logging
 import os
 import time
@@ -39,6 +40,17 @@ def describe(spark: SparkSession, text: str) -> None:
         pass
 
 
+@dataclass(frozen=True)
+class RunContext:
+    """What is the same for all tables of one run: a rerun with an equal context writes equal rows."""
+
+    as_of: dt.datetime
+
+    @classmethod
+    def now(cls) -> RunContext:
+        return cls(dt.datetime.now(dt.timezone.utc))
+
+
 @dataclass
 class StageReport:
     rows: dict[str, int] = field(default_factory=dict)
@@ -86,7 +98,8 @@ def _log_profile(name: str, profile: DataFrame) -> list[dict]:
 
 
 # ------------------------------------------------------------------ bronze
-def bronze(spark: SparkSession, raw_csv: str, target: str, fmt: str = "parquet") -> StageReport:
+def bronze(spark: SparkSession, raw_csv: str, target: str, fmt: str = "parquet",
+           run: RunContext | None = None) -> StageReport:
     """Raw CSV -> bronze: guard, normalise names, full-row dedup, metadata, profile.
 
     Dedup runs before the ingestion timestamp is added, so it compares source
@@ -94,15 +107,16 @@ def bronze(spark: SparkSession, raw_csv: str, target: str, fmt: str = "parquet")
     pipeline; Parquet is the default.
     """
     report = StageReport()
+    run = run or RunContext.now()
     df = files.read_csv_raw(spark, raw_csv)
     quality.assert_non_empty(df)
     df = quality.normalize_columns(df)
-    df = quality.add_ingestion_metadata(quality.dedup_full_row(df))
+    df = quality.add_ingestion_metadata(quality.dedup_full_row(df), run.as_of)
     if fmt == "csv":
         write = lambda d: sinks.write_csv(d, target)
         read = lambda: files.read_csv_bronze(spark, target)
     else:
-        write = lambda d: sinks.write_parquet_partitioned(d, target)
+        write = lambda d: sinks.write_parquet_partitioned(d, target, rebalance=False)
         read = lambda: files.read_parquet(spark, target)
     report.rows["bronze"] = sinks.write_verified(df, write, read)["written_rows"]
     # Profile the written table: the raw CSV is parsed once, not twice.
@@ -112,7 +126,7 @@ def bronze(spark: SparkSession, raw_csv: str, target: str, fmt: str = "parquet")
 
 # ------------------------------------------------------------------ silver
 def silver(spark: SparkSession, bronze_path: str, dataset: str, target: str,
-           bronze_format: str = "parquet") -> StageReport:
+           bronze_format: str = "parquet", run: RunContext | None = None) -> StageReport:
     """Bronze -> silver: renames, contract check, casts, strict nulls, profile."""
     report = StageReport()
     df = (files.read_parquet(spark, bronze_path) if bronze_format == "parquet"
@@ -122,9 +136,9 @@ def silver(spark: SparkSession, bronze_path: str, dataset: str, target: str,
     report.notes["extra_columns"] = quality.schema_contract(df, dataset)
     df = quality.drop_strict_nulls(quality.cast_to_contract(df, dataset), dataset)
     if "ingestion_year" not in df.columns:
-        df = quality.add_ingestion_metadata(df)
+        df = quality.add_ingestion_metadata(df, (run or RunContext.now()).as_of)
     report.rows["silver"] = sinks.write_verified(
-        df, lambda d: sinks.write_parquet_partitioned(d, target),
+        df, lambda d: sinks.write_parquet_partitioned(d, target, rebalance=False),
         lambda: files.read_parquet(spark, target))["written_rows"]
     # Profile the written Parquet (columnar) instead of a second pass over bronze.
     report.notes["optional_nulls"] = _log_profile(
@@ -143,12 +157,14 @@ def spread(df: DataFrame, spark: SparkSession) -> DataFrame:
 
 
 def silver_from_testdata(spark: SparkSession, sf_dir: str, silver_root: str,
-                         workers: int = 1) -> StageReport:
+                         workers: int = 1, run: RunContext | None = None) -> StageReport:
     """Land the driver tables as canonical silver (partitioned Parquet)."""
+    run = run or RunContext.now()
     frames = testdata.load_silver(spark, sf_dir)
-    builders = {name: (lambda df=df: quality.add_ingestion_metadata(spread(df, spark)))
+    builders = {name: (lambda df=df: quality.add_ingestion_metadata(spread(df, spark), run.as_of))
                 for name, df in frames.items()}
-    return write_tables(builders, silver_root, sinks.write_parquet_partitioned, workers)
+    return write_tables(builders, silver_root,
+                        lambda d, path: sinks.write_parquet_partitioned(d, path, rebalance=False), workers)
 
 
 def read_silver(spark: SparkSession, silver_root: str) -> dict[str, DataFrame]:
@@ -219,32 +235,36 @@ def serving_views(spark: SparkSession, gold_root: str, marts_root: str) -> dict[
     return tables
 
 
-def run_all(spark: SparkSession, sf_dir: str, root: str, workers: int = 1) -> dict[str, StageReport]:
+def run_all(spark: SparkSession, sf_dir: str, root: str, workers: int = 1,
+            run: RunContext | None = None) -> dict[str, StageReport]:
     """Driver tables -> silver -> gold -> marts under ``root``; returns row counts."""
     silver_root, gold_root, marts_root = (os.path.join(root, p) for p in ("silver", "gold", "marts"))
     return {
-        "silver": silver_from_testdata(spark, sf_dir, silver_root, workers),
+        "silver": silver_from_testdata(spark, sf_dir, silver_root, workers, run),
         "gold": gold(spark, silver_root, gold_root, workers=workers),
         "marts": marts(spark, gold_root, silver_root, marts_root, workers=workers),
     }
 
 
 def run_from_raw(spark: SparkSession, raw_files: dict[str, str], root: str,
-                 workers: int = 1, bronze_format: str = "parquet") -> dict[str, StageReport]:
+                 workers: int = 1, bronze_format: str = "parquet",
+                 run: RunContext | None = None) -> dict[str, StageReport]:
     """Raw CSV files -> bronze -> silver -> gold -> marts under ``root``.
 
     ``raw_files`` maps each silver dataset name (``mercato.contracts``) to its
     raw CSV path.  Datasets are independent until gold, so each one's
-    bronze + silver chain runs as its own job sequence, ``workers`` at a time.
+    bronze + silver chain runs as its own job sequence, ``workers`` at a time.  All
+    tables get the ingestion time of one ``RunContext``.
     """
+    run = run or RunContext.now()
     bronze_root, silver_root, gold_root, marts_root = (
         os.path.join(root, p) for p in ("bronze", "silver", "gold", "marts"))
 
     def land(name: str) -> tuple[str, StageReport, StageReport]:
         describe(spark, f"land {name}")
-        b = bronze(spark, raw_files[name], os.path.join(bronze_root, name), fmt=bronze_format)
+        b = bronze(spark, raw_files[name], os.path.join(bronze_root, name), fmt=bronze_format, run=run)
         s = silver(spark, os.path.join(bronze_root, name), name, os.path.join(silver_root, name),
-                   bronze_format=bronze_format)
+                   bronze_format=bronze_format, run=run)
         return name, b, s
 
     if workers <= 1:

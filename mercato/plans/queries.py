@@ -8,6 +8,7 @@ DuckDB SQL lives in ``plans.oracle``.
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import cached_property
 from typing import Callable
 
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 
 from mercato.functions.scalars import as_double_money, id_abbreviation, period_label
 from mercato.operators import conform, marts, quality, serving
+from mercato.plans import pipeline
 from mercato.plans.gold import Gold, Marts
 from mercato.sources import files, sinks, testdata
 from mercato.sources.sql import register_views, sql_source
@@ -51,6 +53,9 @@ class Ctx:
         return Marts.of(self.gold)
 
 
+# The ingestion time of the registered query's run.
+AS_OF = dt.datetime(2024, 1, 15, 8, 30, tzinfo=dt.timezone.utc)
+
 # Columns of the cohort matrices: the months since a customer's first order that seven years hold;
 # what lies beyond stands in the column ``later_months``.
 COHORT_MONTHS = range(84)
@@ -188,8 +193,9 @@ def _normalize_columns(c: Ctx) -> DataFrame:
 
 @query("ingestion_metadata")
 def _ingestion_metadata(c: Ctx) -> DataFrame:
-    """Q2: ingestion columns added (clock-dependent: rows-only check)."""
-    return quality.add_ingestion_metadata(c.silver["sellers"])
+    """Q2: ingestion columns of a run whose context carries its one timestamp."""
+    run = pipeline.RunContext(AS_OF)
+    return quality.add_ingestion_metadata(c.silver["sellers"], run.as_of)
 
 
 @query("dedup_full_row")
@@ -219,6 +225,16 @@ def _rename_typos(c: Ctx) -> DataFrame:
     return quality.rename_typos(df, "products")
 
 
+@query("schema_contract")
+def _schema_contract(c: Ctx) -> DataFrame:
+    """Q7: payments with a missing, an extra, an uncastable and a null column held against the contract."""
+    df = c.silver["order_payments"].drop("payment_installments").withColumns({
+        "payment_type": F.when(F.col("order_id") % 11 != 0, F.col("payment_type")),
+        "payment_value": F.when(F.col("order_id") % 7 == 0, "n/a").otherwise(F.col("payment_value").cast("string")),
+        "channel": F.lit("web")})
+    return quality.contract_findings(df, "order_payments")
+
+
 @query("cast_to_contract")
 def _cast_to_contract(c: Ctx) -> DataFrame:
     """Q8: payments as text, cast to the contract types (bad text -> null)."""
