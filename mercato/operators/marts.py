@@ -385,12 +385,14 @@ def abc_order() -> list[Column]:
 
 
 def ranked_products(fact_order_items: DataFrame, fact_orders: DataFrame,
-                    n_buckets: int | None = None, rollup: DataFrame | None = None) -> DataFrame:
+                    n_buckets: int | None = None, rollup: DataFrame | None = None,
+                    rows_per_range: int | None = None) -> DataFrame:
     """Rank by revenue (ties by product id) and running revenue."""
     return global_rank_running_sum(
         product_revenue(fact_order_items, fact_orders, rollup),
         abc_order(), "total_revenue", rank_col="rank", running_col="running_revenue",
-        total_col="grand_total", n_buckets=n_buckets,
+        total_col="grand_total", n_buckets=n_buckets, keys=[("total_revenue", False), ("product_id", True)],
+        rows_per_range=rows_per_range,
     )
 
 
