@@ -81,7 +81,8 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select(F.col("doc.doc_id").alias("doc_id"), "n_email", "n_ip", "n_card", "n_phone", "base_sha256",
-                        "spans")
+                        "spans", F.regexp_count("spans", F.lit("secret:")).cast("long").alias("n_secret"),
+                        F.regexp_count("spans", F.lit("[a-z]+:")).cast("long").alias("n_spans"))
 
 
 def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
