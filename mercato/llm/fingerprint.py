@@ -5,7 +5,8 @@ from it a precedence rank: the density of that entropy under a fixed reference
 distribution of prose, so improbable windows come first; windows of next to no
 entropy come last.  In every run of ``RUN`` neighbouring windows the leftmost
 window of the lowest rank scores a point, and windows with at least ``POPULAR``
-points are the text's features.  Distinct features, in order, go into Bloom
+points are the text's features.  Texts under ``SHORT`` bytes have few windows: theirs are scored in runs of
+``SHORT_RUN`` and need ``SHORT_POPULAR`` points, a rule of the length alone.  Distinct features, in order, go into Bloom
 filters of ``BITS`` bits with five hash functions; after ``PER_FILTER``
 features the next filter begins.
 
@@ -45,6 +46,7 @@ from .common import Rolling, bound_batches, materialize, pieces
 WINDOW = 64
 RUN = 64
 POPULAR = 16
+SHORT, SHORT_RUN, SHORT_POPULAR = 1024, 8, 2
 BITS = 2048
 PER_FILTER = 160
 HASHES = 5
@@ -90,26 +92,27 @@ def window_ranks(data: np.ndarray) -> np.ndarray:
     return _RANKS[np.clip(level, 0, 1000)]
 
 
-def _popular(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
-    """Places of the selected windows of all texts (each at least a window long)."""
+def _popular(data: np.ndarray, starts: np.ndarray, stops: np.ndarray, run: int = RUN,
+             popular: int = POPULAR) -> np.ndarray:
+    """Places of the selected windows of all texts (each at least a window long); ``run`` is a power of two."""
     n = len(data)
     key = window_ranks(data) * (_PLACE + 1) + np.arange(max(0, n - WINDOW + 1))
     low, width = key, 1
-    while width < RUN:
+    while width < run:
         low = np.minimum(low[:-width], low[width:]) if len(low) > width else low[:0]
         width *= 2
     points = np.zeros(n + 1, np.int64)
     windows = stops - starts - WINDOW + 1
     first_run = np.zeros(n + 1, np.int64)
-    whole = windows >= RUN
+    whole = windows >= run
     np.add.at(first_run, starts[whole], 1)
-    np.add.at(first_run, starts[whole] + windows[whole] - RUN + 1, -1)
+    np.add.at(first_run, starts[whole] + windows[whole] - run + 1, -1)
     runs = np.flatnonzero(np.cumsum(first_run[:n]))
     if len(runs):
         points[:n] += np.bincount(low[runs] & _PLACE, minlength=n)[:n]
     for a, w in zip(starts[~whole], windows[~whole], strict=True):  # one run over all its windows
         points[int(key[a:a + w].min()) & _PLACE] += 1
-    chosen = points >= POPULAR
+    chosen = points >= popular
     counts = np.concatenate([[0], np.cumsum(chosen)])
     bare = counts[stops] == counts[starts]
     for a, b in zip(starts[bare], stops[bare], strict=True):
@@ -121,17 +124,19 @@ def digests(texts: list[bytes]) -> list[str]:
     """The fingerprint of each text."""
     out = [""] * len(texts)
     sizes = np.array([len(t) for t in texts], np.int64)
-    long = np.flatnonzero(sizes >= WINDOW)
     owner, hashes = [], []
     for i in np.flatnonzero((sizes > 0) & (sizes < WINDOW)):
         owner.append(np.array([i]))
         hashes.append(np.frombuffer(hashlib.blake2b(texts[i], digest_size=8).digest(), np.uint64))
-    if len(long):
-        data = np.frombuffer(b"".join(texts[i] for i in long), np.uint8)
-        stops = np.cumsum(sizes[long])
-        at = _popular(data, stops - sizes[long], stops)
-        owner.append(long[np.searchsorted(stops, at, "right")])
-        hashes.append(Rolling(data).of(at, at + WINDOW))
+    for which, run, popular in (((sizes >= WINDOW) & (sizes < SHORT), SHORT_RUN, SHORT_POPULAR),
+                                (sizes >= max(WINDOW, SHORT), RUN, POPULAR)):
+        own = np.flatnonzero(which)
+        if len(own):
+            data = np.frombuffer(b"".join(texts[i] for i in own), np.uint8)
+            stops = np.cumsum(sizes[own])
+            at = _popular(data, stops - sizes[own], stops, run, popular)
+            owner.append(own[np.searchsorted(stops, at, "right")])
+            hashes.append(Rolling(data).of(at, at + WINDOW))
     if not owner:
         return out
     owner, hashes = np.concatenate(owner), np.concatenate(hashes)

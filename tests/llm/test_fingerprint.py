@@ -1,4 +1,6 @@
+import base64
 import hashlib
+import math
 import random
 
 import numpy as np
@@ -91,3 +93,77 @@ def test_null_empty_tied_long_and_lone_texts(spark, as_docs):
     lone = fp.fingerprint(as_docs([(1, "only one text here")])).collect()
     assert len(lone) == 1 and lone[0].near_next == 1.0
     assert fp.fingerprint(as_docs(rows).limit(0)).count() == 0
+
+
+def plain_digest(text):
+    """Features by their definition, and Bloom filters as sets of bits."""
+    if len(text) < fp.WINDOW:
+        hashes = [int.from_bytes(hashlib.blake2b(text, digest_size=8).digest(), "little")] if text else []
+    else:
+        data = np.frombuffer(text, np.uint8)
+        short = len(text) < fp.SHORT
+        run, popular = (fp.SHORT_RUN, fp.SHORT_POPULAR) if short else (fp.RUN, fp.POPULAR)
+        n = len(data) - fp.WINDOW + 1
+        ranks, points = fp.window_ranks(data), np.zeros(len(data), int)
+        for a in range(max(1, n - run + 1)):
+            points[a + int(np.argmin(ranks[a:min(n, a + run)]))] += 1
+        at = np.flatnonzero(points >= popular)
+        at = at if len(at) else np.array([int(points.argmax())])
+        hashes = list(dict.fromkeys(map(int, fp.Rolling(data).of(at, at + fp.WINDOW))))
+    filters = [{h >> 11 * k & fp.BITS - 1 for h in hashes[i:i + fp.PER_FILTER] for k in range(fp.HASHES)}
+               for i in range(0, len(hashes), fp.PER_FILTER)]
+    return hashes, filters
+
+
+def read_digest(digest):
+    n, _, body = digest.partition(":")
+    raw = base64.b64decode(body)
+    size = fp.BITS // 8
+    return int(n), [{8 * i + j for i, byte in enumerate(raw[f:f + size]) for j in range(8) if byte >> 7 - j & 1}
+                    for f in range(0, len(raw), size)]
+
+
+def plain_likeness(one, other):
+    if one == other:
+        return 1.0
+    if not one[0] or not other[0]:
+        return 0.0
+    sides = []
+    for hashes, filters in (one, other):
+        sides.append((filters, [len(hashes[i:i + fp.PER_FILTER]) for i in range(0, len(hashes), fp.PER_FILTER)]))
+    (a, na), (b, nb) = sorted(sides, key=lambda s: (len(s[0]), sum(s[1])))
+    total = 0.0
+    for f, n in zip(a, na):
+        best = -math.inf  # less than chance counts against the others
+        for g, m in zip(b, nb):
+            most = min(len(f), len(g))
+            e = 1 - 1 / fp.BITS
+            chance = fp.BITS * (1 - e ** (fp.HASHES * n)) * (1 - e ** (fp.HASHES * m))
+            floor = chance + fp.MARGIN * (most - chance)
+            best = max(best, (len(f & g) - floor) / (most - floor) if most > floor else 0.0)
+        total += best * n
+    return min(1.0, max(0.0, total / sum(na)))
+
+
+def test_filters_and_likeness_equal_their_plain_version():
+    rng = random.Random(6)
+    make = lambda n: "".join(rng.choice("etaoin shrdlu.,") for _ in range(n)).encode()
+    texts = [make(n) for n in (0, 5, 63, 64, 90, 200, 300, 1023, 1024, 5000, 60_000)]
+    texts += [texts[-1][:30_000] + make(20_000), texts[6][:150] + make(150), texts[9][1000:3000]]
+    found, plain = fp.digests(texts), [plain_digest(t) for t in texts]
+    for digest, (hashes, filters) in zip(found, plain, strict=True):
+        assert read_digest(digest or "0:") == (len(hashes), filters)
+    for i in range(len(texts)):
+        for j in range(len(texts)):
+            assert abs(fp.likeness(found[i], found[j]) - plain_likeness(plain[i], plain[j])) < 1e-9
+
+
+def test_half_edited_short_texts_are_told(spark):
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.1/documents.parquet").orderBy("doc_id")
+             .select("text").collect()]
+    chosen = [i for i in range(len(texts) - 1) if 200 <= len(texts[i] or "") < 800]
+    ones = fp.digests([texts[i].encode() for i in chosen])
+    changed = fp.digests([fp.edited(texts[i], texts[i + 1] or "").encode() for i in chosen])
+    likes = np.array([fp.likeness(a, b) for a, b in zip(ones, changed, strict=True)])
+    sizes = np.array([len(texts[i]) for i in chosen])
+    assert (likes[sizes < 400] == 0).mean() < 0.11 and (likes[sizes >= 400] == 0).mean() < 0.02
