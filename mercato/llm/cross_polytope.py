@@ -10,7 +10,8 @@ its angle.  Candidates are ranked by their exact inner product in double precisi
 Equal vectors are one class that is indexed and searched once and keeps its
 ``NEAREST`` + 1 smallest ids, all that a result can need; the results are
 dealt out to the queries afterwards.  A bucket beyond ``CHUNK`` classes is split into
-chunks that the queries visit one by one, so no task holds a bucket whole and nothing is capped.
+chunks, and one that more than ``QUERY_BLOCK`` queries visit into blocks of queries; each (chunk, block) pair
+is a unit of work, so no task holds a bucket whole on either side and nothing is capped.
 Queries that find fewer than ``NEAREST`` vectors visit all buckets of one
 table, so they miss none.
 
@@ -40,6 +41,7 @@ TABLES = 8
 PROBES = 10
 NEAREST = 20
 CHUNK = 16_384
+QUERY_BLOCK = 8192
 SEED = 2
 MOST_BUCKETS_BROADCAST = 1_000_000
 
@@ -143,19 +145,30 @@ def _best(queries: np.ndarray, query_ids: np.ndarray, points: np.ndarray, point_
     return query_ids[q], point_ids[p], (queries[q] * points[p]).sum(axis=1)
 
 
-_UNIT = ["dim", "tab", "axis", "band", "chunk"]
+_UNIT = ["dim", "tab", "axis", "band", "chunk", "block"]
 
 
 def _candidates(points: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """``query_class, class_id, score``: the best classes of every bucket chunk that a query visits."""
     bucket = ["dim", "tab", "axis", "band"]
-    chunks = materialize(points.groupBy(*bucket).agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("chunks")),
-                         "bucket-chunks")
-    chunks = broadcast_if_small(chunks, MOST_BUCKETS_BROADCAST)
-    dealt_points = points.join(chunks, bucket).withColumn("side", F.lit(0)).withColumn(
-        "chunk", F.pmod(F.xxhash64("class_id", "tab"), F.col("chunks")).cast("int")).drop("chunks")
-    dealt_queries = queries.join(chunks, bucket).withColumn("side", F.lit(1)).withColumn(
-        "chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).drop("chunks")
+
+    def parts(side: DataFrame, size: int, name: str) -> DataFrame:
+        return side.groupBy(*bucket).agg(F.ceil(F.count(F.lit(1)) / size).cast("int").alias(name))
+
+    # buckets that hold points and are visited: how many chunks and blocks each has
+    cuts = materialize(parts(points, CHUNK, "chunks").join(parts(queries, QUERY_BLOCK, "blocks"), bucket), "bucket-parts")
+    cuts = broadcast_if_small(cuts, MOST_BUCKETS_BROADCAST)
+
+    def numbers(n: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+
+    def own(n: str) -> Column:
+        return F.pmod(F.xxhash64("class_id", "tab"), F.col(n)).cast("int")
+
+    dealt_points = (points.join(cuts, bucket).withColumn("side", F.lit(0)).withColumn("chunk", own("chunks"))
+                    .withColumn("block", numbers("blocks")).drop("chunks", "blocks"))
+    dealt_queries = (queries.join(cuts, bucket).withColumn("side", F.lit(1)).withColumn("block", own("blocks"))
+                     .withColumn("chunk", numbers("chunks")).drop("chunks", "blocks").select(dealt_points.columns))
     rows = dealt_points.unionByName(dealt_queries)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

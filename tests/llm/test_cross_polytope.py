@@ -76,3 +76,15 @@ def test_few_rows_return_all_and_empty_table(spark):
     got = cp.nearest(df, F.col("vec_id") < 2).collect()
     assert {(r.query_id, r.vec_id) for r in got} == {(q, i) for q in (0, 1) for i in range(8) if i != q}
     assert cp.nearest(df.limit(0), F.lit(True)).count() == 0
+
+
+def test_a_bucket_that_a_third_of_all_queries_visit_is_cut_on_both_sides(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(900, 8))
+    x[:300] = np.eye(8)[0] * 5 + rng.normal(size=(300, 8)) * 0.05  # one direction: one bucket in every table
+    df = spark.createDataFrame([(i, [float(v) for v in x[i]]) for i in range(900)], "vec_id long, embedding array<double>")
+    whole = sorted(map(tuple, cp.nearest(df, F.col("vec_id") < 450).collect()))
+    monkeypatch.setattr(cp, "CHUNK", 64)
+    monkeypatch.setattr(cp, "QUERY_BLOCK", 32)
+    assert sorted(map(tuple, cp.nearest(df, F.col("vec_id") < 450).collect())) == whole
+    assert len(whole) == 450 * 20
