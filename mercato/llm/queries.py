@@ -70,7 +70,8 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents")).select(
-        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"),
+        "n_repeated_marks")
 
 
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,6 +17,11 @@ equal offsets.  Neighbouring windows mostly share an anchor: texts have about
    if both lie in one run of either order.
 3. Windows become spans, spans meet their text, and covered bytes go.
 
+Beside the bytes, ``n_repeated_marks`` tells which documents share passages that may be shorter: every run of ``MARK_RUN``
+words has a *mark*, its run of ``MARK`` words with the smallest hash, so equal runs have equal marks.  A document
+without a mark that stands elsewhere shares no run of ``MARK_RUN`` words (A-Z lower-cased); one with such a
+mark shares at least ``MARK`` words.
+
 A gram with more than ``GROUP`` contexts is cut into blocks, and each pair of
 blocks is a unit of work, so no task holds a hot group whole.
 
@@ -35,15 +40,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from mercato.operators.joins import broadcast_if_small
+from mercato.operators.joins import broadcast_if_small, salted_join
 
 from .common import Rolling, bound_batches, grouped, materialize, mix64, pieces, text_bytes
 from .deep_shallow import common_prefix, deep_shallow_order
+from .shingles import word_hashes
 
 LENGTH = 400
 GRAM = 160
 GROUP = 8192
 MOST_BROADCAST = 300_000
+MARK, MARK_RUN = 32, 51
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: int = GRAM):
@@ -55,13 +62,7 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: i
     rolling = Rolling(data)
     grams = rolling.windows(gram)
     # the hash's upper half decides, then the place: equal hashes go to the leftmost
-    low = (grams & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(grams), dtype=np.uint64)
-    step = 1
-    while 2 * step <= width:
-        low = np.minimum(low[:-step], low[step:])
-        step *= 2
-    if width > step:
-        low = np.minimum(low[:len(low) - (width - step)], low[width - step:])
+    low = least_of_runs((grams & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(grams), dtype=np.uint64), width)
     inside = np.zeros(n + 1, np.int64)
     sizes = np.diff(offsets)
     long = sizes >= length
@@ -80,6 +81,30 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: i
     return np.searchsorted(offsets, lo, "right") - 1, place, lo, hi, grams[place].view(np.int64), context.view(np.int64)
 
 
+def least_of_runs(keys: np.ndarray, width: int) -> np.ndarray:
+    """The least of every ``width`` neighbouring keys."""
+    low, step = keys, 1
+    while 2 * step <= width:
+        low = np.minimum(low[:-step], low[step:])
+        step *= 2
+    return np.minimum(low[:len(low) - (width - step)], low[width - step:]) if width > step else low
+
+
+def marks(data: np.ndarray, offsets: np.ndarray, mark: int = MARK, run: int = MARK_RUN) -> tuple[np.ndarray, np.ndarray]:
+    """(row, hash) of every place that is the mark of some run of words in its text."""
+    hashes, first = word_hashes(data, offsets)
+    if len(hashes) < run:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    grams = Rolling(hashes).windows(mark)
+    # the upper half decides, then the place
+    keys = (grams & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(grams), dtype=np.uint64)
+    low = least_of_runs(keys, run - mark + 1)
+    row = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
+    inside = row[:len(low)] == row[run - 1:run - 1 + len(low)]  # runs of one text
+    at = np.unique((low[inside] & np.uint64(0xFFFFFFFF)).astype(np.int64))
+    return row[at], grams[at].view(np.int64)
+
+
 def _key(id_col: str, text_col: str):
     return F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))
 
@@ -101,6 +126,33 @@ def anchor_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.mapInArrow(run, "gram long, context long, doc long, first long, before int, windows int")
 
 
+def _combined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Equal contexts of a batch summed up (``n``, and the least of their places), so that a hot one is few rows."""
+    for batch in batches:
+        cols = [batch.column(i).to_numpy() for i in range(6)]
+        order = np.lexsort((*reversed(cols[2:4]), cols[1], cols[0]))
+        gram, context = cols[0][order], cols[1][order]
+        new = np.append(True, (gram[1:] != gram[:-1]) | (context[1:] != context[:-1]))[:len(order)]
+        firsts = np.flatnonzero(new)
+        n = np.diff(np.append(firsts, len(order)))
+        yield pa.RecordBatch.from_arrays([*(pa.array(c[order][firsts]) for c in cols), pa.array(n)],
+                                         ["gram", "context", "doc", "first", "before", "windows", "n"])
+
+
+def repeated_marks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``doc, n_repeated_marks`` of the documents (by their key) with marks that stand elsewhere too."""
+    rows = docs.select(_key(id_col, text_col).alias("doc"), F.col(f"`{text_col}`").alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, "text"):
+            row, mark = marks(*text_bytes(batch.column(1)))
+            yield pa.RecordBatch.from_arrays([pa.array(mark), pa.array(batch.column(0).to_numpy()[row])], ["mark", "doc"])
+
+    found = materialize(rows.mapInArrow(run, "mark long, doc long"), "marks")
+    often = found.groupBy("mark").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("mark")
+    return salted_join(found, often, "mark", "inner").groupBy("doc").agg(F.count(F.lit(1)).alias("n_repeated_marks"))
+
+
 def context_bytes(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``gram, context, before, windows, bytes`` of every wanted context, from the text of one document that has it."""
     per_doc = wanted.groupBy("doc").agg(F.collect_list(F.struct("gram", "context", "first", "before", "windows"))
@@ -198,8 +250,10 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """``doc, start, stop``: bytes of each document (by its key) that repeated windows cover; spans may overlap."""
     found = materialize(anchor_rows(docs, id_col, text_col), "anchors")
     one = F.struct("doc", "first", "before", "windows")
-    # grams that occur once are most of all and go before anything is written
-    repeats = (found.groupBy("gram", "context").agg(F.count(F.lit(1)).alias("n"), F.min(one).alias("one"))
+    # one shuffle, by gram, serves both groupings; grams that occur once are most of all and go before anything is written
+    dealt = found.mapInArrow(_combined, "gram long, context long, doc long, first long, before int, windows int, n long"
+                             ).repartition("gram")
+    repeats = (dealt.groupBy("gram", "context").agg(F.sum("n").alias("n"), F.min(one).alias("one"))
                .withColumn("occurs", F.sum("n").over(Window.partitionBy("gram"))).filter("occurs > 1").drop("occurs"))
     contexts = materialize(repeats, "contexts")
     # several contexts, one of them single: its windows may repeat in the others
@@ -249,14 +303,16 @@ def merged(spans: list) -> list[tuple[int, int]]:
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, n_bytes, n_removed, n_spans, kept``: one row per input row; ``kept`` holds the remaining bytes."""
+    """``doc_id, n_bytes, n_removed, n_spans, kept, n_repeated_marks``: one row per input row; ``kept`` holds the
+    remaining bytes."""
     bound_batches(docs)
     spans = repeated_spans(docs, id_col, text_col).distinct()
     per_doc = spans.groupBy("doc").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
-    per_doc = per_doc.withColumnRenamed("doc", "of")
+    per_doc = per_doc.join(repeated_marks(docs, id_col, text_col), "doc", "full").withColumnRenamed("doc", "of")
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"),
                        _key(id_col, text_col).alias("doc"))
-    rows = rows.join(per_doc, rows["doc"] == per_doc["of"], "left").select("doc_id", "text", "spans")
+    rows = rows.join(per_doc, rows["doc"] == per_doc["of"], "left").select(
+        "doc_id", "text", "spans", F.coalesce("n_repeated_marks", F.lit(0)).alias("n_repeated_marks"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text"):
@@ -269,7 +325,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 for column, value in zip(out, (len(raw), len(raw) - len(kept), len(gone), kept), strict=True):
                     column.append(value)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array(c, pa.int64()) for c in out[:3]), pa.array(out[3], pa.binary())],
-                ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
+                [batch.column(0), *(pa.array(c, pa.int64()) for c in out[:3]), pa.array(out[3], pa.binary()),
+                 batch.column(3)], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "n_repeated_marks"])
 
-    return rows.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    return rows.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, "
+                                "n_repeated_marks long")

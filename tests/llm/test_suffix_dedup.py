@@ -1,5 +1,6 @@
 import hashlib
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -30,6 +31,13 @@ def brute(texts, length=sd.LENGTH):
     return out
 
 
+def word_runs(texts, n):
+    """Whether a text holds a run of n words that stands elsewhere too."""
+    words = [re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")) for t in texts]
+    seen = Counter(tuple(w[i:i + n]) for w in words for i in range(len(w) - n + 1))
+    return [any(seen[tuple(w[i:i + n])] > 1 for i in range(len(w) - n + 1)) for w in words]
+
+
 def result(df):
     return [(r.doc_id, (r.n_bytes, r.n_removed, r.n_spans, r.sha)) for r in sd.remove_repeats(df).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("sha")).collect()]
@@ -63,7 +71,11 @@ def test_query_equals_all_windows(spark, docs):
     rows = sorted((r.doc_id, r.text) for r in docs.collect())
     got = sorted(map(tuple, op6_suffix_dedup(spark, SF).collect()))
     assert [g[0] for g in got] == [i for i, _ in rows]
-    assert [tuple(g[1:]) for g in got] == brute([t for _, t in rows])
+    assert [tuple(g[1:5]) for g in got] == brute([t for _, t in rows])
+    shared = word_runs([t for _, t in rows], sd.MARK_RUN)
+    assert sum(shared) > 5
+    for g, long, short in zip(got, shared, word_runs([t for _, t in rows], sd.MARK), strict=True):
+        assert (g[5] > 0) >= long and (g[5] > 0) <= short
 
 
 def repeats(rng):
@@ -92,3 +104,28 @@ def test_long_text_and_empty_table(spark, as_docs):
     got = dict(result(as_docs([(1, text), (2, text[100_000:100_399]), (3, "-" + text[200_000:200_400] + "-")])))
     assert got[1][1] == 400 and got[2][1] == 0 and got[3][:3] == (402, 400, 1)
     assert sd.remove_repeats(as_docs([(1, "a")]).limit(0)).count() == 0
+
+
+def test_marks_tell_shared_passages_of_words(spark, as_docs):
+    rng = random.Random(12)
+    vocabulary = [f"w{i}" for i in range(400)]
+    prose = lambda n: " ".join(rng.choice(vocabulary) for _ in range(n))
+    passages = [prose(n) for n in (20, 31, 45, 51, 52, 80)]
+    texts = [prose(rng.randrange(90)) + " " + (rng.choice(passages) if k % 3 else "") + "\n" + prose(rng.randrange(90))
+             for k in range(120)]
+    texts += [None, "", passages[3].upper(), passages[3], "same " * 60, prose(3000) + " " + passages[5] + " end"]
+    got = {r.doc_id: r.n_repeated_marks for r in sd.remove_repeats(as_docs(list(enumerate(texts)))).collect()}
+    for k, (long, short) in enumerate(zip(word_runs(texts, sd.MARK_RUN), word_runs(texts, sd.MARK), strict=True)):
+        assert (got[k] > 0) >= long and (got[k] > 0) <= short
+    assert got[122] == got[123] > 0 and got[120] == got[121] == 0
+    assert 0 < sum(v > 0 for v in got.values()) < len(texts)
+
+
+def test_a_passage_in_every_text_and_repeated_rows(spark, as_docs):
+    rng = random.Random(13)
+    passage = " ".join(f"p{rng.randrange(900)}" for _ in range(70))
+    rows = [(k, f"t{k} " * 30 + passage + f" u{k}" * 30) for k in range(800)]
+    rows += [(900, " ".join(f"q{i}" for i in range(60)))] * 2 + [(901, " ".join(f"z{i}" for i in range(60)))]
+    got = sd.remove_repeats(as_docs(rows)).select("doc_id", "n_repeated_marks").collect()
+    assert len(got) == len(rows)
+    assert all((n > 0) == (i != 901) for i, n in got)
