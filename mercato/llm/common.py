@@ -156,15 +156,19 @@ class Rolling:
     """
 
     BASE = 0x9E3779B97F4A7C15 | 1
+    KEPT = 1 << 22  # powers that a worker keeps; a longer array brings its own
     _powers = np.ones(1, np.uint64)
     _inverse = np.ones(1, np.uint64)
 
     def __init__(self, values: np.ndarray, salt: int = 0):
         n = len(values)
-        if len(Rolling._powers) <= n:
+        self.powers, self.inverse = Rolling._powers, Rolling._inverse
+        if len(self.powers) <= n:
             size = max(n + 1, 1 << 16)
-            Rolling._powers = _geometric(Rolling.BASE, size)
-            Rolling._inverse = _geometric(pow(Rolling.BASE, -1, 1 << 64), size)
+            self.powers = _geometric(Rolling.BASE, size)
+            self.inverse = _geometric(pow(Rolling.BASE, -1, 1 << 64), size)
+            if size <= Rolling.KEPT:
+                Rolling._powers, Rolling._inverse = self.powers, self.inverse
         if values.dtype == np.uint8:
             lut = mix64(np.arange(256, dtype=np.uint64) + np.uint64(0x51 + salt * 1000))
             values = lut[values]
@@ -173,11 +177,11 @@ class Rolling:
         else:
             values = mix64(values.astype(np.uint64) + np.uint64(0x51 + salt * 1000))
         self.sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(values * Rolling._powers[:n], out=self.sums[1:])
+        np.cumsum(values * self.powers[:n], out=self.sums[1:])
 
     def of(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
         x = self.sums[stop] - self.sums[start]
-        x *= Rolling._inverse[start]
+        x *= self.inverse[start]
         return mix64(x)
 
     def windows(self, width: int) -> np.ndarray:
@@ -186,7 +190,7 @@ class Rolling:
         if n < width:
             return np.zeros(0, np.uint64)
         x = self.sums[width:] - self.sums[:n - width + 1]
-        x *= Rolling._inverse[:n - width + 1]
+        x *= self.inverse[:n - width + 1]
         return mix64(x)
 
 

@@ -42,7 +42,7 @@ from .lattice import KnownUnits, Pieces, load_pieces, streams, uniforms, unit_st
 SAMPLES = 2
 SEED = 3
 BATCH_BYTES = 1 << 19  # of text searched at a time
-MOST_NODES = 1 << 20  # of unit lattices that a task keeps
+MOST_NODES = 1 << 19  # of unit lattices that a task keeps
 _WALK, _ROOT, _REST, _TURN, _LEFT = range(5)
 
 

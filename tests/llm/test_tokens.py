@@ -78,3 +78,13 @@ def test_nulls_ties_long_texts_and_random_access(spark, as_docs, scratch):
 
 def test_empty_table(spark, as_docs):
     assert write_and_read(as_docs([(1, "a")]).limit(0), PATH).count() == 0
+
+
+def test_rolling_hashes_of_a_long_array_leave_no_long_tables():
+    from mercato.llm.common import Rolling
+
+    values = np.random.default_rng(0).integers(0, 256, Rolling.KEPT + 1000).astype(np.uint8)
+    long, short = Rolling(values), Rolling(values[5000:9000].copy())
+    assert (long.of(np.array([5000]), np.array([9000])) == short.of(np.array([0]), np.array([4000]))).all()
+    assert (long.windows(64)[5000:8000] == short.windows(64)[:3000]).all()
+    assert len(Rolling._powers) <= Rolling.KEPT
