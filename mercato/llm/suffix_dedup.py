@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from mercato.operators.joins import broadcast_if_small, salted_join
+from mercato.operators.joins import broadcast_if_small
 
 from .common import Rolling, bound_batches, grouped, materialize, mix64, pieces, text_bytes
 from .deep_shallow import common_prefix, deep_shallow_order
@@ -50,7 +50,7 @@ LENGTH = 400
 GRAM = 160
 GROUP = 8192
 MOST_BROADCAST = 300_000
-MARK, MARK_RUN = 32, 51
+MARK, MARK_RUN = 24, 51
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: int = GRAM):
@@ -148,9 +148,12 @@ def repeated_marks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             row, mark = marks(*text_bytes(batch.column(1)))
             yield pa.RecordBatch.from_arrays([pa.array(mark), pa.array(batch.column(0).to_numpy()[row])], ["mark", "doc"])
 
-    found = materialize(rows.mapInArrow(run, "mark long, doc long"), "marks")
-    often = found.groupBy("mark").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("mark")
-    return salted_join(found, often, "mark", "inner").groupBy("doc").agg(F.count(F.lit(1)).alias("n_repeated_marks"))
+    # found twice rather than written: the texts cost less to read again than the marks to keep
+    found = rows.mapInArrow(run, "mark long, doc long")
+    often = materialize(found.groupBy("mark").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("mark"),
+                        "repeated-marks")
+    # both sides are plain shuffles, so a mark that many documents share is split by AQE's skew join
+    return found.join(often, "mark", "left_semi").groupBy("doc").agg(F.count(F.lit(1)).alias("n_repeated_marks"))
 
 
 def context_bytes(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
