@@ -37,7 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mercato.operators.joins import broadcast_if_small
@@ -50,7 +50,8 @@ LENGTH = 400
 GRAM = 160
 GROUP = 8192
 MOST_BROADCAST = 300_000
-MARK, MARK_RUN = 24, 51
+MARK, MARK_RUN = 20, 51
+_PLACE_BITS = 12  # of a context's bytes before its anchor, and of its windows; both below LENGTH
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: int = GRAM):
@@ -129,14 +130,24 @@ def anchor_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def _combined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Equal contexts of a batch summed up (``n``, and the least of their places), so that a hot one is few rows."""
     for batch in batches:
-        cols = [batch.column(i).to_numpy() for i in range(6)]
-        order = np.lexsort((*reversed(cols[2:4]), cols[1], cols[0]))
+        gram, context, doc, first, before, windows = (batch.column(i).to_numpy() for i in range(6))
+        # one number for the place, as these rows are shuffled
+        place = first << 2 * _PLACE_BITS | before.astype(np.int64) << _PLACE_BITS | windows
+        cols = [gram, context, doc, place]
+        order = np.lexsort((place, doc, context, gram))
         gram, context = cols[0][order], cols[1][order]
         new = np.append(True, (gram[1:] != gram[:-1]) | (context[1:] != context[:-1]))[:len(order)]
         firsts = np.flatnonzero(new)
         n = np.diff(np.append(firsts, len(order)))
         yield pa.RecordBatch.from_arrays([*(pa.array(c[order][firsts]) for c in cols), pa.array(n)],
-                                         ["gram", "context", "doc", "first", "before", "windows", "n"])
+                                         ["gram", "context", "doc", "place", "n"])
+
+
+def _unpacked(place: str) -> list[Column]:
+    part = F.lit((1 << _PLACE_BITS) - 1)
+    return [F.shiftright(place, 2 * _PLACE_BITS).alias("first"),
+            F.shiftright(place, _PLACE_BITS).bitwiseAND(part).cast("int").alias("before"),
+            F.col(place).bitwiseAND(part).cast("int").alias("windows")]
 
 
 def repeated_marks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -252,10 +263,9 @@ def group_spans(t: pa.Table) -> pa.RecordBatch:
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc, start, stop``: bytes of each document (by its key) that repeated windows cover; spans may overlap."""
     found = materialize(anchor_rows(docs, id_col, text_col), "anchors")
-    one = F.struct("doc", "first", "before", "windows")
+    one = F.struct("doc", "place")
     # one shuffle, by gram, serves both groupings; grams that occur once are most of all and go before anything is written
-    dealt = found.mapInArrow(_combined, "gram long, context long, doc long, first long, before int, windows int, n long"
-                             ).repartition("gram")
+    dealt = found.mapInArrow(_combined, "gram long, context long, doc long, place long, n long").repartition("gram")
     repeats = (dealt.groupBy("gram", "context").agg(F.sum("n").alias("n"), F.min(one).alias("one"))
                .withColumn("occurs", F.sum("n").over(Window.partitionBy("gram"))).filter("occurs > 1").drop("occurs"))
     contexts = materialize(repeats, "contexts")
@@ -265,7 +275,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.col("gram").alias("open_gram"), F.ceil(F.col("contexts") / GROUP).cast("int").alias("blocks")), "open-grams")
     small = broadcast_if_small(open_grams, MOST_BROADCAST)
     wanted = materialize(contexts.join(small, contexts["gram"] == small["open_gram"]).select(
-        "gram", "context", "n", "blocks", "one.*"), "open-contexts")
+        "gram", "context", "n", "blocks", "one.doc", *_unpacked("one.place")), "open-contexts")
     raw = context_bytes(docs, wanted.select("gram", "context", "doc", "first", "before", "windows"), id_col, text_col)
     blocks = raw.join(small, raw["gram"] == small["open_gram"]).drop("open_gram").withColumn(
         "block", F.pmod(F.xxhash64("context"), F.col("blocks")).cast("int"))
