@@ -7,19 +7,20 @@
    dotted host or spelt with *at* and *dot*, colon-separated ips, tokens of any
    length that mix letters and digits, and values of letters assigned to a secret's name.
 3. *Classifier*: gradient-boosted trees on format and context features, fitted
-   on proposals of the whole table, for each kind and weak label, and with and without a
-   base span, the ``TRAIN_EACH`` of the smallest hash (a documented bound): a proposal that its kind's validator confirms
+   on all proposals of one half of the documents: a proposal that its kind's validator confirms
    (check digit and groups of a card, a phone's format after a cue), or a token assigned
    to a secret's name, is positive; one that the validator
-   rejects, or a token with no such context, is negative; others are in neither.
-4. *Calibration*: on those of a held-out half of the documents that touch no base
+   rejects, or a token with no such context, is negative; others are in neither.  Features fall into bins with
+   fixed edges (``EDGES``), so equal proposals are one *cell* with a count.  No group (kind, label, with or
+   without a base span) weighs more than ``TRAIN_EACH``, so that rare kinds are heard.
+4. *Calibration*: on all those of the other half of the documents that touch no base
    span, as only these can be added, each kind gets the
-   lowest threshold (0.5 at least) that reaches ``PRECISION``, sampled ones counted as often as
-   they stand for; for a kind with fewer than ``LEAST_CONFIRMED`` positive ones the validator alone decides; a kind that reaches it nowhere
+   lowest threshold (0.5 at least, a multiple of 1 / ``LEVELS``) that reaches ``PRECISION``;
+   for a kind with fewer than ``LEAST_CONFIRMED`` positive ones the validator alone decides; a kind that reaches it nowhere
    adds nothing.  Accepted proposals that touch no base span are added.
 
-Two passes over the texts, one to fit; only counts are shuffled.  The model (a few hundred numbers) is all
-that tasks receive.
+Two passes over the texts, one to fit; only counts are shuffled.  Each level of a tree is one pass over the cells,
+whose tasks return sums by node, feature and bin.  The model (a few hundred numbers) is all that tasks receive.
 
 Edge cases: a null text is empty and has no spans; texts of any length are
 searched whole, in time linear in their length; repeated rows and null ids each
@@ -34,7 +35,8 @@ import hashlib
 import ipaddress
 import math
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -42,13 +44,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bound_batches, materialize, mix64, pieces
+from .common import bound_batches, materialize, mix64, pieces, spread
 
 KINDS = ("email", "ip", "card", "phone", "secret")
 TRAIN_EACH = 2000
 PRECISION = 0.99
 LEAST_CONFIRMED = 20
-ROUNDS, RATE = 24, 0.3
+ROUNDS, RATE, DEPTH = 24, 0.3, 3
+LEVELS = 1 << 16
+_UNIT = 2.0**32  # weights and gradients are sums of whole parts of it, exact below 2**53 in any order
+_HELD_CELLS = 1 << 16
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _HOST = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
@@ -125,6 +130,13 @@ _IP6 = re.compile(r"(?<![0-9A-Za-z:.])[0-9A-Fa-f]{0,4}(?::[0-9A-Fa-f]{0,4}){2,7}
 _CUED = re.compile(r"(?<![A-Za-z_])(password|passwd|pwd|secret|token|api_?key|key)[\x20\t]{0,2}([=:])[\x20\t\"']{0,3}"
                    r"([A-Za-z_/+.-]{8,}+)(?![0-9])", re.I)
 
+_SIXTEENTHS = [i / 16 for i in range(16)]
+# Upper edges of the bins of each feature; what lies above the last one is a bin too.
+EDGES = [np.array(e, float) for e in (
+    range(4), [*range(1, 33), 40, 48, 64, 96, 128, 256], _SIXTEENTHS, _SIXTEENTHS, _SIXTEENTHS,
+    [i / 4 for i in range(25)], [*range(13), 16, 24, 32], [*range(25), 32, 64], [0], range(5), [0], [0], [0], [0])]
+BINS = 1 + max(map(len, EDGES))
+
 
 class _Held:
     """Spans by kind; spans of one kind do not overlap."""
@@ -279,7 +291,10 @@ def _apply(tree, x: np.ndarray) -> np.ndarray:
 
 
 def fit_trees(x: np.ndarray, y: np.ndarray, rounds: int = ROUNDS, depth: int = 3) -> list:
-    """Newton boosting of the logistic loss; trees are nested (feature, cut, low, high)."""
+    """Newton boosting of the logistic loss; trees are nested (feature, cut, low, high).
+
+    The plain version, on rows in memory; ``fit`` boosts on counts that stay on the executors.
+    """
     score, trees = np.zeros(len(y)), []
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-score))
@@ -293,17 +308,17 @@ def predict(trees: list, x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-sum(RATE * _apply(t, x) for t in trees)))
 
 
-def calibrate(p: np.ndarray, y: np.ndarray, kind: np.ndarray, weight: np.ndarray) -> tuple[list[float], list[bool]]:
+def calibrate(p: np.ndarray, y: np.ndarray, kind: np.ndarray, n: np.ndarray) -> tuple[list[float], list[bool]]:
     """For each kind the lowest threshold whose held-out precision reaches ``PRECISION`` (infinity if none does),
-    and whether it has so few positive cases that its validator decides instead."""
+    and whether it has so few positive cases that its validator decides instead; a row stands for ``n`` cases."""
     out, few = [], []
     for k in range(len(KINDS)):
-        pk, yk, wk = p[kind == k], y[kind == k], weight[kind == k]
-        few.append(bool(yk.sum() < LEAST_CONFIRMED))
-        order = np.argsort(-pk, kind="stable")
-        pk, yk, wk = pk[order], yk[order], wk[order]
+        own = kind == k
+        order = np.argsort(-p[own], kind="stable")
+        pk, nk, right = p[own][order], n[own][order], (y * n)[own][order]
+        few.append(bool(right.sum() < LEAST_CONFIRMED))
         last = np.append(pk[1:] != pk[:-1], True) if len(pk) else np.zeros(0, bool)
-        ok = last & (np.cumsum(yk * wk) >= PRECISION * np.cumsum(wk)) & (np.cumsum(yk) >= LEAST_CONFIRMED)
+        ok = last & (np.cumsum(right) >= PRECISION * np.cumsum(nk)) & (np.cumsum(right) >= LEAST_CONFIRMED)
         ok &= pk >= 0.5
         out.append(0.5 if few[-1] else float(pk[np.flatnonzero(ok)[-1]]) if ok.any() else math.inf)
     return out, few
@@ -321,7 +336,10 @@ def _least(rows: list[tuple], each: int) -> list[tuple]:
 
 
 def training_rows(docs: DataFrame, id_col: str, text_col: str, each: int) -> list[tuple]:
-    """(kind, label, addable, hash, held out, features): the ``each`` smallest hashes of every kind, label and addable."""
+    """(kind, label, addable, hash, held out, features): the ``each`` smallest hashes of every kind, label and addable.
+
+    Proposals to look at or to label by hand; ``fit`` counts them all.
+    """
     rank = F.xxhash64(F.lit(8), F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))
     ranked = docs.select(rank.alias("rank"), F.col(f"`{text_col}`").alias("text"))
 
@@ -363,27 +381,181 @@ def training_rows(docs: DataFrame, id_col: str, text_col: str, each: int) -> lis
     return _least([tuple(r) for r in found.filter(wanted).collect()], each)
 
 
+def binned(x: np.ndarray) -> np.ndarray:
+    """The bin of every feature: ``x <= EDGES[j][b]`` if and only if the bin is at most ``b``."""
+    return np.stack([np.searchsorted(e, x[:, j], "left") for j, e in enumerate(EDGES)], 1).astype(np.uint8)
+
+
+def unbinned(bins: np.ndarray) -> np.ndarray:
+    """The upper edges of the bins, which a tree that cuts at edges sends where it sends the features themselves."""
+    return np.stack([np.append(e, np.inf)[bins[:, j]] for j, e in enumerate(EDGES)], 1)
+
+
+def cells(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``bins, label, addable, held_out, n``: all decided proposals of the table, counted by their bins."""
+    rank = F.xxhash64(F.lit(8), F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))
+    ranked = docs.select(rank.alias("rank"), F.col(f"`{text_col}`").alias("text"))
+    keys = ["bins", "label", "addable", "held_out"]
+
+    def as_batch(counts: Counter) -> pa.RecordBatch:
+        cols = list(zip(*counts, strict=True))
+        kinds = [pa.binary(), pa.int64(), pa.bool_(), pa.bool_()]
+        return pa.RecordBatch.from_arrays([*(pa.array(c, t) for c, t in zip(cols, kinds, strict=True)),
+                                           pa.array(counts.values(), pa.int64())], [*keys, "n"])
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter = Counter()
+        for batch in pieces(batches, "text"):
+            found, x = [], []
+            for rank_, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                base = base_spans(text or "")
+                held = _Held(base)
+                for _, a, b, label, f in proposals(text or "", base):
+                    if label >= 0:
+                        found.append((label, not held.touched(a, b), bool(rank_ & 1)))
+                        x.append(f)
+            if found:
+                counts.update((b.tobytes(), *rest) for b, rest in zip(binned(np.array(x)), found, strict=True))
+            if len(counts) > _HELD_CELLS:
+                yield as_batch(counts)
+                counts.clear()
+        if counts:
+            yield as_batch(counts)
+
+    found = ranked.mapInArrow(rows, "bins binary, label long, addable boolean, held_out boolean, n long")
+    return found.groupBy(*keys).agg(F.sum("n").alias("n"))
+
+
+def _group(kind: np.ndarray, label: np.ndarray, addable: np.ndarray) -> np.ndarray:
+    return (kind.astype(int) * 2 + label) * 2 + addable
+
+
+def _cell_arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
+    """(bins, label, addable, n) of many batches at once."""
+    held: list[pa.RecordBatch] = []
+
+    def joined() -> tuple[np.ndarray, ...]:
+        t = pa.Table.from_batches(held)
+        bins = np.frombuffer(b"".join(t.column("bins").to_pylist()), np.uint8).reshape(-1, N_FEATURES)
+        return bins, *(t.column(c).to_numpy() for c in ("label", "addable", "n"))
+
+    for batch in batches:
+        held.append(batch)
+        if sum(map(len, held)) >= _HELD_CELLS:
+            yield joined()
+            held = []
+    if sum(map(len, held)):
+        yield joined()
+
+
+def level_sums(bins: np.ndarray, y: np.ndarray, weight: np.ndarray, trees: list, growing, nodes: int) -> np.ndarray:
+    """Weight, gradient and curvature by node of the ``growing`` tree, feature and bin, in whole ``1 / _UNIT``."""
+    x = unbinned(bins)
+    p = predict(trees, x) if trees else np.full(len(x), 0.5)
+    node = _apply(growing, x).astype(int)
+    own = node >= 0
+    out = np.zeros((nodes, N_FEATURES, BINS, 3))
+    for i, v in enumerate((weight, weight * (y - p), weight * p * (1 - p))):
+        v = np.rint(v * _UNIT)[own]
+        for j in range(N_FEATURES):
+            out[:, j, :, i] = np.bincount(node[own] * BINS + bins[own, j], v, nodes * BINS).reshape(nodes, BINS)
+    return out
+
+
+def _cut(sums: np.ndarray) -> tuple[int, int] | None:
+    """(feature, bin) of the best cut of a node by its sums, if it has one."""
+    mass, g, h = sums[0].sum(0) / _UNIT
+    best = (1e-6, None)
+    if mass <= 8:
+        return None
+    for j, edges in enumerate(EDGES):
+        _, gl, hl = np.cumsum(sums[j, :len(edges)], 0).T / _UNIT
+        gain = gl * gl / (hl + 1.0) + (g - gl) ** 2 / (h - hl + 1.0) - g * g / (h + 1.0)
+        b = int(np.argmax(gain))
+        if gain[b] > best[0]:
+            best = (float(gain[b]), (j, b))
+    return best[1]
+
+
+def _leaf(sums: np.ndarray) -> float:
+    _, g, h = sums.sum(0) / _UNIT
+    return float(g / (h + 1.0))
+
+
+def grow(sums_of: Callable, depth: int = DEPTH):
+    """A tree, level by level; ``sums_of(tree, nodes)`` gives the sums at the nodes under way, whose leaves hold their
+    numbers (others -1)."""
+    done: dict[int, object] = {}  # by number in a heap: (feature, bin) of a cut, or a leaf's value
+
+    def shaped(i: int, leaf: Callable):
+        if isinstance(done.get(i), tuple):
+            j, b = done[i]
+            return j, float(EDGES[j][b]), shaped(2 * i, leaf), shaped(2 * i + 1, leaf)
+        return leaf(i)
+
+    under_way = [1]
+    for level in range(depth):
+        at = {i: float(k) for k, i in enumerate(under_way)}
+        if not at:
+            break
+        following = []
+        sums = sums_of(shaped(1, lambda i: at.get(i, -1.0)), len(at))
+        for i, own in zip(under_way, sums, strict=True):
+            cut = _cut(own)
+            done[i] = cut or _leaf(own[0])
+            if cut:
+                j, b = cut
+                done[2 * i], done[2 * i + 1] = _leaf(own[j, :b + 1]), _leaf(own[j, b + 1:])
+                following += [2 * i, 2 * i + 1]
+        under_way = following
+    return shaped(1, done.__getitem__)
+
+
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", each: int = TRAIN_EACH) -> dict:
-    """Fit and calibrate on at most ``each`` proposals of every kind and label."""
+    """Fit and calibrate on all proposals; no kind, label and addable weighs more than ``each``."""
     bound_batches(docs)
-    found = training_rows(docs, id_col, text_col, each)
-    nothing = {"trees": [], "thresholds": [0.5] * len(KINDS), "few": [True] * len(KINDS)}
-    if not found:
-        return nothing
-    kind, y, addable, hashes, held_out = (np.array(c) for c in list(zip(*found, strict=True))[:5])
-    x, y = np.array([r[5] for r in found]), y.astype(float)
-    if len(set(y[~held_out])) < 2:
-        return nothing
-    # a row of a full group stands for as many as its share of the hashes says
-    group = (kind * 2 + y.astype(int)) * 2 + addable
-    weight = np.ones(len(y))
-    for g in np.unique(group):
-        own = group == g
-        if own.sum() >= each:
-            weight[own] = 2.0**63 / (float(hashes[own].max()) + 1)
-    trees = fit_trees(x[~held_out], y[~held_out])
-    own = held_out & addable
-    thresholds, few = calibrate(predict(trees, x[own]), y[own], kind[own], weight[own])
+    found = materialize(cells(docs, id_col, text_col), "pii-cells")
+    kind = F.conv(F.hex(F.substring("bins", 1, 1)), 16, 10).cast("int").alias("kind")
+    groups = found.groupBy(kind, "label", "addable", "held_out").agg(
+        F.sum("n").alias("n"), F.count(F.lit(1)).alias("cells")).collect()  # at most 40
+    train = [g for g in groups if not g["held_out"]]
+    if len({g["label"] for g in train}) < 2:
+        return {"trees": [], "thresholds": [0.5] * len(KINDS), "few": [True] * len(KINDS)}
+    size = np.zeros(4 * len(KINDS))
+    for g in groups:
+        size[_group(np.array(g["kind"]), g["label"], g["addable"])] += g["n"]
+    share = np.minimum(1.0, each / np.maximum(size, 1))
+    # read once for every level of a tree, so in few files, however many partitions dealt the cells
+    parts = spread(sum(g["cells"] for g in groups), 4 * _HELD_CELLS)
+    fitted = materialize(found.filter("NOT held_out").coalesce(parts), "pii-fitted")
+    trees: list = []
+
+    def sums_of(growing, nodes: int) -> np.ndarray:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = np.zeros((nodes, N_FEATURES, BINS, 3))
+            for bins, label, addable, n in _cell_arrays(batches):
+                weight = n * share[_group(bins[:, 0], label, addable)]
+                total += level_sums(bins, label, weight, trees, growing, nodes)
+            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["sums"])
+
+        parts_ = fitted.mapInArrow(run, "sums binary").collect()  # one of fixed size from each task
+        return sum(np.frombuffer(r["sums"]) for r in parts_).reshape(nodes, N_FEATURES, BINS, 3)
+
+    for _ in range(ROUNDS):
+        trees.append(grow(sums_of))
+
+    def levels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for bins, label, _, n in _cell_arrays(batches):
+            level = np.floor(predict(trees, unbinned(bins)) * LEVELS).astype(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(bins[:, 0].astype(np.int64)), pa.array(label), pa.array(np.maximum(level, LEVELS // 2 - 1)),
+                 pa.array(n)], ["kind", "label", "level", "n"])
+
+    own = found.filter("held_out AND addable").coalesce(parts)
+    scored = own.mapInArrow(levels, "kind long, label long, level long, n long").groupBy("kind", "label", "level").agg(
+        F.sum("n").alias("n")).collect()  # at most two for each kind and level
+    k, y, level, n = np.array([tuple(r) for r in scored], np.int64).reshape(-1, 4).T
+    thresholds, few = calibrate(level / LEVELS, y, k, n)
     return {"trees": trees, "thresholds": thresholds, "few": few}
 
 

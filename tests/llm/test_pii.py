@@ -153,3 +153,29 @@ def test_op8_held_out_precision_and_recall(spark):
     print("op8 held out (right, added, true):", dict(zip(KINDS, counts.tolist(), strict=True)), model["few"])
     assert counts[2, 1] == counts[2, 0] and counts[3, 1] == counts[3, 0]
     assert counts[4, 0] >= 0.99 * counts[4, 1] and counts[4, 0] >= 0.8 * counts[4, 2]
+
+
+def test_op8_fit_counts_every_proposal(spark, as_docs):
+    """Groups larger than ``each`` are weighed down, not cut: all held-out ones stand behind a threshold."""
+    rows = [(i, f"plain words {i} of id 98078{i:05d}0448{i % 7} and token = \"ab{i:06d}cdef\" there") for i in range(600)]
+    frame = as_docs(rows)
+    labels = [label for _, t in rows for *_, label, _ in pii.proposals(t, base_spans(t)) if label >= 0]
+    counted = pii.cells(frame.repartition(5), "doc_id", "text").collect()
+    assert sum(r.n for r in counted) == len(labels) and sum(r.n * r.label for r in counted) == sum(labels)
+    model = fit(frame, each=10)
+    assert model["few"] == [True, True, True, True, False]
+    assert model == fit(frame.repartition(5), each=10)
+    x = np.array([f for _, t in rows[:50] for *_, f in pii.proposals(t, base_spans(t))])
+    assert (predict(model["trees"], x) == predict(model["trees"], pii.unbinned(pii.binned(x)))).all()
+
+
+def test_op8_trees_from_counts_learn():
+    rng = np.random.default_rng(1)
+    x = np.zeros((4000, pii.N_FEATURES))
+    x[:, 2:4] = rng.uniform(size=(4000, 2))
+    y = ((x[:, 2] > 0.5) ^ (x[:, 3] > 0.25)).astype(float)
+    bins, trees = pii.binned(x), []
+    for _ in range(pii.ROUNDS):
+        trees.append(pii.grow(lambda tree, n: sum(
+            pii.level_sums(bins[a:a + 500], y[a:a + 500], np.ones(500), trees, tree, n) for a in range(0, 4000, 500))))
+    assert ((predict(trees, x) > 0.5) == y).mean() > 0.95
