@@ -110,6 +110,12 @@ def _key(id_col: str, text_col: str):
     return F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))
 
 
+def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``doc_id, text, doc``: both joins of texts by their key start from this, so that Spark shuffles the texts once."""
+    return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"),
+                       _key(id_col, text_col).alias("doc"))
+
+
 def anchor_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``gram, context, doc, place, before, windows``; places in bytes, relative to the first window."""
     rows = docs.select(_key(id_col, text_col).alias("doc"), F.col(f"`{text_col}`").alias("text"))
@@ -171,8 +177,8 @@ def context_bytes(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str
     """``gram, context, before, windows, bytes`` of every wanted context, from the text of one document that has it."""
     per_doc = wanted.groupBy("doc").agg(F.collect_list(F.struct("gram", "context", "first", "before", "windows"))
                                         .alias("items")).withColumnRenamed("doc", "of")
-    rows = docs.select(_key(id_col, text_col).alias("doc"), F.col(f"`{text_col}`").alias("text"))
-    rows = rows.join(per_doc, rows["doc"] == per_doc["of"]).select("text", "items")
+    rows = _keyed(docs, id_col, text_col)
+    rows = rows.join(per_doc, rows["doc"] == per_doc["of"]).select("text", "items", "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text"):
@@ -322,8 +328,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spans = repeated_spans(docs, id_col, text_col).distinct()
     per_doc = spans.groupBy("doc").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
     per_doc = per_doc.join(repeated_marks(docs, id_col, text_col), "doc", "full").withColumnRenamed("doc", "of")
-    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"),
-                       _key(id_col, text_col).alias("doc"))
+    rows = _keyed(docs, id_col, text_col)
     rows = rows.join(per_doc, rows["doc"] == per_doc["of"], "left").select(
         "doc_id", "text", "spans", F.coalesce("n_repeated_marks", F.lit(0)).alias("n_repeated_marks"))
 

@@ -129,3 +129,17 @@ def test_a_passage_in_every_text_and_repeated_rows(spark, as_docs):
     got = sd.remove_repeats(as_docs(rows)).select("doc_id", "n_repeated_marks").collect()
     assert len(got) == len(rows)
     assert all((n > 0) == (i != 901) for i, n in got)
+
+
+def test_op6_texts_are_shuffled_once_for_both_joins(spark, as_docs):
+    frame = as_docs([(i, f"{i % 3} " + "some words that stand in more than one text " * 20) for i in range(30)])
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        plan = sd.remove_repeats(frame)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert "ReusedExchange [doc_id" in plan
